@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hindcast.functions.scalars import backtest_label, is_honest
 from hindcast.operators.asof import current_snapshot, forecast_rows, nearest_forecast, snapshot_rows
 from hindcast.operators.forecasting import (
-    HOUR, assemble, context_rows, forecast_batch, known_hours, level_structs, local_hour, profile_forecast,
+    HOUR, assemble_known, context_rows, forecast_batch, known_hours, level_structs, local_hour, profile_forecast,
     replay_rows,
 )
 from hindcast.operators.metrics import crps_steps, interval_score, mean_scores
@@ -59,8 +59,9 @@ def resolve_backtests(
     remaining = open_requests.join(replayable.select("request_id"), "request_id", "left_anti")
 
     ahead = snapshot_rows(current, snapshots).select("request_id", "ref", "ts", "airtemp", "pressure")
-    replay = replay_rows(replayable, ahead, known_hours(gauge, weather), rows, short=short)
-    oracle = context_rows(assemble(gauge, weather), remaining, rows, short=short)
+    known = known_hours(gauge, weather)
+    replay = replay_rows(replayable, ahead, known, rows, short=short)
+    oracle = context_rows(assemble_known(known), remaining, rows, short=short)
     computed = forecast_batch(replay.unionByName(oracle), forecaster, horizon=horizon)
 
     tagged = replayable.withColumns({"kind": F.lit("replay"), "covariate_source": F.lit(SOURCE_REPLAY)}).unionByName(

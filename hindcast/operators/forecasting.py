@@ -42,8 +42,12 @@ def assemble(gauge: DataFrame, weather: DataFrame, *, lead: int = COVARIATE_LEAD
     Water is filled up to the last gauge row and stays null after it. Weather is filled throughout and then brought
     forward by ``lead`` rows, so that each row sees the weather expected that far ahead.
     """
-    near = known_hours(gauge, weather, block_seconds)
-    rows = near.select(
+    return assemble_known(known_hours(gauge, weather, block_seconds), lead)
+
+
+def assemble_known(known: DataFrame, lead: int = COVARIATE_LEAD) -> DataFrame:
+    """The same from readings whose neighbours are known already."""
+    rows = known.select(
         "series_id", "ts", "_rn",
         F.when(F.col("_next_gauged").isNotNull(), filled("value")).alias(WATER),
         filled("airtemp").alias("airtemp"),

@@ -50,7 +50,7 @@ def require_channels(df: DataFrame, channels: Sequence[str] = CHANNELS) -> None:
 def quantiles_to_long(df: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     """Columns named ``channel_qLEVEL`` to rows ``(channel, q, value)``."""
     names = [c for c in df.columns if c not in keys and "_q" in c]
-    long = df.unpivot(list(keys), names, "_name", "value")
+    long = df.unpivot(list(keys), [f"`{n}`" for n in names], "_name", "value")
     return long.select(*keys, name_channel(F.col("_name")).alias("channel"), name_level(F.col("_name")).alias("q"),
                        "value")
 

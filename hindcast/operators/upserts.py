@@ -87,7 +87,9 @@ def merge_observations(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     order = F.col("write_seq").cast("bigint") if "write_seq" in incoming.columns else F.lit(0).cast("bigint")
     stored = existing.withColumn("_seq", F.lit(-1).cast("bigint"))
     both = stored.unionByName(incoming.withColumn("_seq", order).drop("write_seq"), allowMissingColumns=True)
-    return keep_one(both, ["series_id", "ts"], [F.desc("_seq")]).drop("_seq")
+    # Two values of one batch for one time have no stated order; the larger is kept so that reruns agree.
+    rest = [F.desc_nulls_last(c) for c in existing.columns if c not in ("series_id", "ts")]
+    return keep_one(both, ["series_id", "ts"], [F.desc("_seq"), *rest]).drop("_seq")
 
 
 def union_chunks(chunks: list[DataFrame], keys: list[str], order: str = "ts") -> DataFrame:
