@@ -46,17 +46,17 @@ def resolve_backtests(
     ``requests`` has ``request_id, series_id, offset_hours, ref``; ``archive`` long quantile rows; ``snapshots``
     ``series_id, reference_time, fetched_at, ts, airtemp, pressure``. Replays and oracles share one forecast pass.
     """
-    requests = requests.select("request_id", "series_id", "offset_hours", "ref")
-    stored = nearest_forecast(requests, archive, tolerance_hours=tolerance_hours, kinds=HONEST_KINDS)
-    looked_up = forecast_rows(stored, archive).select(
-        "request_id", "series_id", "offset_hours", "reference_time", "kind", "covariate_source",
-        "target_time", "channel", "q", "value",
-    )
-
-    open_requests = requests.join(stored.select("request_id"), "request_id", "left_anti")
-    current = current_snapshot(open_requests, snapshots, max_age_hours=max_age_hours)
-    replayable = current.select("request_id", "series_id", "offset_hours", "ref")
-    remaining = open_requests.join(replayable.select("request_id"), "request_id", "left_anti")
+    # Requests that share series and time have one answer, worked out once.
+    wanted = requests.select("request_id", "series_id", "offset_hours", "ref")
+    origins = wanted.select("series_id", "ref").distinct().withColumn("request_id", origin_id("series_id", "ref"))
+    stored = nearest_forecast(origins, archive, tolerance_hours=tolerance_hours, kinds=HONEST_KINDS)
+    answer = ["series_id", "ref", "reference_time", "kind", "covariate_source", "target_time", "channel", "q", "value"]
+    looked_up = forecast_rows(stored, archive).select(*answer, F.lit(True).alias("from_archive"))
+
+    unanswered = origins.join(stored.select("request_id"), "request_id", "left_anti")
+    current = current_snapshot(unanswered, snapshots, max_age_hours=max_age_hours)
+    replayable = current.select("request_id", "series_id", "ref")
+    remaining = unanswered.join(replayable.select("request_id"), "request_id", "left_anti")
 
     ahead = snapshot_rows(current, snapshots).select("request_id", "ref", "ts", "airtemp", "pressure")
     known = known_hours(gauge, weather)
@@ -67,19 +67,19 @@ def resolve_backtests(
     tagged = replayable.withColumns({"kind": F.lit("replay"), "covariate_source": F.lit(SOURCE_REPLAY)}).unionByName(
         remaining.withColumns({"kind": F.lit("oracle"), "covariate_source": F.lit(SOURCE_ORACLE)})
     )
-    recomputed = computed.join(tagged, "request_id").select(
-        "request_id", "series_id", "offset_hours", F.col("ref").alias("reference_time"), "kind", "covariate_source",
-        "target_time", "channel", "q", "value",
-    )
-    both = looked_up.withColumn("from_archive", F.lit(True)).unionByName(
-        recomputed.withColumn("from_archive", F.lit(False))
+    recomputed = computed.join(tagged, "request_id").withColumn("reference_time", F.col("ref")).select(
+        *answer, F.lit(False).alias("from_archive")
     )
-    return both.withColumns({
+    return wanted.join(looked_up.unionByName(recomputed), ["series_id", "ref"]).withColumns({
         "is_honest": is_honest(F.col("kind")),
         "label": backtest_label(F.col("offset_hours"), F.col("kind")),
     }).select(*BACKTEST_COLUMNS)
 
 
+def origin_id(series: str, ref: str) -> Column:
+    return F.concat_ws("|", series, F.unix_micros(ref).cast("string"))
+
+
 def to_archive(backtests: DataFrame, issued_at: Column, *, model_id: str = "", code_version: str = "") -> DataFrame:
     """Recomputed backtests as archive rows; looked-up ones are stored already."""
     return backtests.where(~F.col("from_archive")).select(

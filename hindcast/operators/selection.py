@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import kind_rank
-from hindcast.operators.blocks import framed
+from hindcast.operators.blocks import BLOCK_SECONDS, framed, number_rows
 from hindcast.schemas import PEAK_DISTANCE, PEAK_PROMINENCE
 
 KEY = ("series_id",)
@@ -44,28 +44,29 @@ def resolve_precedence(df: DataFrame, keys: Sequence[str] = ("series_id", "refer
     return keep_one(df, keys, order)
 
 
-def volatility_scores(df: DataFrame, column: str, rows: int, *, index: str, trend: bool = False,
+def volatility_scores(df: DataFrame, column: str, rows: int, *, trend: bool = False,
                       mean_between: tuple[float, float] | None = None, first_start: int = 1000,
-                      margin: int | None = None, keys: Sequence[str] = KEY) -> DataFrame:
+                      margin: int | None = None, keys: Sequence[str] = KEY,
+                      block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """Score every start position by the variance of the ``rows`` values from there on.
 
     With ``trend`` the variance is multiplied by the absolute change over the window. ``start`` counts from 0;
     starts below ``first_start`` or less than ``margin + 1`` rows before the end are left out.
     """
-    keys = list(keys)
     margin = rows if margin is None else margin
-    ends = df.groupBy(*keys).agg(F.min(index).alias("_lo"), F.max(index).alias("_hi"))
 
     def scores(w) -> dict[str, Column]:
         ahead = w.rowsBetween(0, rows - 1)
-        out = {"_var": F.var_pop(column).over(ahead), "_mean": F.avg(column).over(ahead)}
-        out["_final"] = F.lead(column, rows - 1).over(w)
-        return out
-
-    scored = framed(df, index, scores, after=rows - 1, keys=keys).join(ends, keys)
-    start, length = F.col(index) - F.col("_lo"), F.col("_hi") - F.col("_lo") + 1
+        return {
+            "_var": F.var_pop(column).over(ahead), "_mean": F.avg(column).over(ahead),
+            "_final": F.lead(column, rows - 1).over(w),
+        }
+
+    numbered = number_rows(df.select(*keys, "ts", column), keys=keys, block_seconds=block_seconds)
+    scored = framed(numbered, "_rn", scores, after=rows - 1, keys=keys)
+    start = F.col("_rn") - 1
     score = F.col("_var") * F.abs(F.col(column) - F.col("_final")) if trend else F.col("_var")
-    scored = scored.where((start >= first_start) & (start < length - margin - 1))
+    scored = scored.where((start >= first_start) & (start < F.col("_rows") - margin - 1))
     if mean_between:
         scored = scored.where(F.col("_mean").between(*mean_between))
     return scored.select(*keys, "ts", start.alias("start"), score.alias("score"))

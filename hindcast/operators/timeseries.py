@@ -144,14 +144,6 @@ def last_known(df: DataFrame, value: str = "value", *, keys: Sequence[str] = KEY
     return df.groupBy(*keys).agg(F.max(F.when(F.col(value).isNotNull(), F.col(ts))).alias("last_ts"))
 
 
-def series_ends(df: DataFrame, column: str, index: str, keys: Sequence[str] = KEY) -> DataFrame:
-    """First and last index of each series with the values found there."""
-    return df.groupBy(*keys).agg(
-        F.min(index).alias("_lo"), F.max(index).alias("_hi"),
-        F.min_by(column, index).alias("_first"), F.max_by(column, index).alias("_last"),
-    )
-
-
 def decompose(df: DataFrame, column: str, kernels: Sequence[int] = (25,), *, index: str,
               keys: Sequence[str] = KEY) -> DataFrame:
     """Split a gap-free series into ``trend`` and ``seasonal``.
@@ -161,21 +153,22 @@ def decompose(df: DataFrame, column: str, kernels: Sequence[int] = (25,), *, ind
     if any(k % 2 == 0 for k in kernels):
         raise ValueError("decomposition kernels must be odd")
     reach = max(kernels) // 2
-    joined = df.join(series_ends(df, column, index, keys), list(keys))
 
     def trend(w, kernel: int) -> Column:
         half = kernel // 2
-        inside = F.sum(column).over(w.rowsBetween(-half, half))
-        missing_left = F.greatest(F.lit(0), half - (F.col(index) - F.col("_lo")))
-        missing_right = F.greatest(F.lit(0), half - (F.col("_hi") - F.col(index)))
-        return (inside + missing_left * F.col("_first") + missing_right * F.col("_last")) / kernel
+        around = w.rowsBetween(-half, half)
+        # Only the true ends of a series cut a frame short, and then its outermost row is the end value to repeat.
+        short_left = half + 1 - F.count(F.lit(1)).over(w.rowsBetween(-half, 0))
+        short_right = half + 1 - F.count(F.lit(1)).over(w.rowsBetween(0, half))
+        ends = short_left * F.first(column).over(around) + short_right * F.last(column).over(around)
+        return (F.sum(column).over(around) + ends) / kernel
 
     def parts(w) -> dict[str, Column]:
         total = sum((trend(w, k) for k in kernels[1:]), trend(w, kernels[0]))
         return {"trend": total / len(kernels)}
 
-    out = framed(joined, index, parts, before=reach, after=reach, keys=keys)
-    return out.withColumn("seasonal", F.col(column) - F.col("trend")).drop("_lo", "_hi", "_first", "_last")
+    out = framed(df, index, parts, before=reach, after=reach, keys=keys)
+    return out.withColumn("seasonal", F.col(column) - F.col("trend"))
 
 
 NORM_MODES = ("identity", "subtract_last", "subtract_median")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hindcast.functions import scalars, zones
 from hindcast.functions.student_t import expand_quantiles
 from hindcast.operators import asof, backtests, forecasting, metrics, quality, reshape, selection, timeseries, upserts, views
-from hindcast.operators.blocks import hour_number, number_rows
+from hindcast.operators.blocks import framed, hour_number, number_rows
 from hindcast.plans import fixtures as fx
 from hindcast.plans import oracle as sq
 from hindcast.schemas import CHANNELS, FORECAST_WIDE, OBSERVATION, PROVENANCE, QUANTILES, SOURCE_LIVE
@@ -236,9 +236,10 @@ def _volatile_sql() -> str:
 
 
 def _volatile(spark, folder):
-    rows = fx.daily(spark, folder).withColumn("day", fx.day_number())
-    calm = selection.volatility_scores(rows, "value", 24, index="day", margin=96)
-    trending = selection.volatility_scores(rows, "value", 96, index="day", trend=True, mean_between=(13.0, 16.0))
+    rows = fx.daily(spark, folder)
+    years = 720 * 86_400
+    calm = selection.volatility_scores(rows, "value", 24, margin=96, block_seconds=years)
+    trending = selection.volatility_scores(rows, "value", 96, trend=True, mean_between=(13.0, 16.0), block_seconds=years)
     short = selection.spaced_top(calm, 5, 24).withColumn("width", F.lit(24))
     return short.unionByName(selection.spaced_top(trending, 4, 96).withColumn("width", F.lit(96)))
 
@@ -283,8 +284,6 @@ CURVES = """SELECT series_id, date_trunc('month', ts)::TIMESTAMP AS reference_ti
 def peaks(spark, folder):
     """Significant maxima of monthly curves of the five-day mean."""
     rows = fx.daily(spark, folder).withColumn("day", fx.day_number())
-    from hindcast.operators.blocks import framed
-
     smooth = framed(rows, "day", lambda w: {"mean": F.avg("value").over(w.rowsBetween(-2, 2))}, before=2, after=2)
     curves = smooth.select(
         "series_id", F.date_trunc("month", "ts").alias("reference_time"), F.col("ts").alias("target_time"), r("mean").alias("value")
@@ -466,7 +465,7 @@ def tiered_backtest(spark, folder):
 def _backtests(spark, folder):
     gauge, weather = held(spark, folder)
     return backtests.resolve_backtests(
-        fx.requests(gauge), fx.settled(fx.archive(gauge), "archive"), fx.settled(fx.snapshots(gauge), "snapshots"), gauge,
+        fx.requests(gauge), fx.archive(gauge), fx.snapshots(gauge), gauge,
         weather, short="skip",
     )
 
@@ -872,8 +871,7 @@ def _comparison_sql() -> str:
 def model_comparison(spark, folder):
     """Two forecasters scored on the most volatile days of each series."""
     frame = fx.settled(fx.hourly(configure(spark), folder), "hourly")
-    rows = frame.withColumn("hour", hour_number(F.col("ts")))
-    scored = selection.volatility_scores(rows, "value", 24, index="hour", first_start=384, margin=96)
+    scored = selection.volatility_scores(frame, "value", 24, first_start=384, margin=96)
     windows = selection.spaced_top(scored, 3, 24).select("series_id", "place", "ts")
     return rounded(backtests.compare_models(frame, windows, 24), "mae", "crps", "interval_score")
 
