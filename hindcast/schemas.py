@@ -81,9 +81,10 @@ FORECAST_WIDE = T.StructType([
     *[T.StructField(name, T.DoubleType()) for name in WIDE_QUANTILES],
 ])
 
+# Snapshots keep both layouts they are found in: the raw service names and the processed ones.
 SNAPSHOT = T.StructType([
     T.StructField("series_id", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("ts", T.TimestampType()),
     T.StructField("temperature", T.DoubleType()),
     T.StructField("pressure_msl", T.DoubleType()),
     T.StructField("precipitation", T.DoubleType()),
@@ -91,6 +92,7 @@ SNAPSHOT = T.StructType([
     T.StructField("pressure", T.DoubleType()),
     T.StructField("niederschlag_mm", T.DoubleType()),
     T.StructField("archive_timestamp", T.StringType()),
+    T.StructField("fetched_at", T.TimestampType()),
     T.StructField("reference_time", T.TimestampType()),
 ])
 

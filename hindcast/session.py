@@ -45,16 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     A local session without that setting gets a temporary folder; a cluster must name one.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="hindcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="hindcast-"))
+    return context.getCheckpointDir()
 
 
 def ready_checkpoints(spark: SparkSession) -> None:
