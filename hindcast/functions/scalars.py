@@ -20,6 +20,11 @@ GAUGE_TIME_FORMAT = "dd.MM.yyyy HH:mm"
 CLOCK_SUFFIX = " Uhr"
 
 
+def named(column: str) -> Column:
+    """A column whose name may hold dots, as quantile columns do."""
+    return F.col(f"`{column}`")
+
+
 def as_utc(text: Column) -> Column:
     """Mixed-format text to an instant; text without offset means UTC, bad text is null."""
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in ARCHIVE_TIME_FORMATS])

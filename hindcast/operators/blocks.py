@@ -85,7 +85,7 @@ def with_neighbours(
     forward, backward = running(home, ts), running(home, F.desc(ts))
     joined = blocked.join(carried, home)
     return joined.select(
-        *df.columns,
+        *[F.col(f"`{c}`") for c in df.columns],
         (F.row_number().over(Window.partitionBy(*home).orderBy(ts)) + F.col("_skip")).alias("_rn"),
         "_rows",
         *[F.coalesce(F.last(known(c), True).over(forward), F.col(f"_cp_{c}")).alias(f"_prev_{c}") for c in columns],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.functions.scalars import name_channel, name_level
+from hindcast.functions.scalars import name_channel, name_level, named
 from hindcast.schemas import BANDS, CHANNELS, METADATA, RAW_WEATHER, WIDE_QUANTILES, quantile_column
 
 
@@ -89,7 +89,7 @@ def quantile_bands(df: DataFrame, *, keys: Sequence[str], bands=BANDS) -> DataFr
 
 def metadata_first(df: DataFrame) -> DataFrame:
     head = [c for c in ("series_id", *METADATA) if c in df.columns]
-    return df.select(*head, *[c for c in df.columns if c not in head])
+    return df.select(*head, *[named(c) for c in df.columns if c not in head])
 
 
 def canonical_weather(df: DataFrame, *, snapshot: Sequence[str] = ("series_id", "anchor", "fetched_at")) -> DataFrame:

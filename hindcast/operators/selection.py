@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hindcast.functions.scalars import kind_rank
+from hindcast.functions.scalars import kind_rank, named
 from hindcast.operators.blocks import BLOCK_SECONDS, framed, number_rows
 from hindcast.schemas import PEAK_DISTANCE, PEAK_PROMINENCE
 
@@ -29,7 +29,7 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], count: int) -> DataFrame:
     """The best ``count`` rows of each key, first within salted shares of the key, then across them."""
-    shared = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    shared = df.withColumn("_salt", F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.lit(SALTS)))
     best = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
     shared = shared.withColumn("_nth", best).where(F.col("_nth") <= count).drop("_nth", "_salt")
     final = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.functions.scalars import round_half_even
+from hindcast.functions.scalars import named, round_half_even
 from hindcast.operators.blocks import BLOCK_SECONDS, framed, hour_number, with_neighbours
 from hindcast.operators.quantiles import exact_quantiles
 from hindcast.schemas import COVARIATE_LEAD
@@ -96,7 +96,7 @@ def filled(c: str, ts: str = "ts") -> Column:
 
 
 def _replaced(df: DataFrame, source: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return source.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in df.columns])
+    return source.select(*[columns[c].alias(c) if c in columns else named(c) for c in df.columns])
 
 
 def interpolate_time(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = KEY, ts: str = "ts",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.functions.scalars import month_key
+from hindcast.functions.scalars import month_key, named
 from hindcast.operators.selection import keep_one, resolve_precedence
 from hindcast.schemas import KIND_RANKS
 
@@ -88,7 +88,7 @@ def merge_observations(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     stored = existing.withColumn("_seq", F.lit(-1).cast("bigint"))
     both = stored.unionByName(incoming.withColumn("_seq", order).drop("write_seq"), allowMissingColumns=True)
     # Two values of one batch for one time have no stated order; the larger is kept so that reruns agree.
-    rest = [F.desc_nulls_last(c) for c in existing.columns if c not in ("series_id", "ts")]
+    rest = [named(c).desc_nulls_last() for c in existing.columns if c not in ("series_id", "ts")]
     return keep_one(both, ["series_id", "ts"], [F.desc("_seq"), *rest]).drop("_seq")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindcast.functions.scalars import as_utc, month_key
+from hindcast.functions.scalars import as_utc, month_key, named
 from hindcast.operators.reshape import metadata_first
 from hindcast.operators.upserts import merge_forecasts, merge_observations, merge_snapshots, stamp_forecast
 from hindcast.schemas import LEGACY_VERSION, SOURCE_LIVE
@@ -66,7 +66,7 @@ def read_csv_months(spark: SparkSession, paths: Sequence[str], schema: T.StructT
 def _cell(raw: DataFrame, field: T.StructField) -> Column:
     if field.name not in raw.columns:
         return F.lit(None).cast(field.dataType)
-    text = F.col(f"`{field.name}`")
+    text = named(field.name)
     if isinstance(field.dataType, T.TimestampType):
         return as_utc(text)
     return text.try_cast(field.dataType)
@@ -154,7 +154,7 @@ def migrate_legacy(spark: SparkSession, legacy: str, path: str, schema: T.Struct
     owner = F.col("series_id") if "series_id" in raw.columns else F.lit(series_id)
     rows = raw.select(
         owner.alias("series_id"), *[as_utc(F.col(c)).alias(c) for c in times],
-        *[F.col(f"`{c}`").try_cast("double").alias(c) for c in values],
+        *[named(c).try_cast("double").alias(c) for c in values],
     )
     stamped = stamp_forecast(
         rows, kind="live", covariate_source=SOURCE_LIVE, issued_at=F.col("reference_time"),
