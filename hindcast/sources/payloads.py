@@ -53,11 +53,17 @@ def _each(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
 
 
+ENTITIES = (("&nbsp;", " "), ("&deg;", "°"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+BLANKS = " \t\r\n\u00a0"
+
+
 def _text(html: Column) -> Column:
-    plain = F.regexp_replace(html, r"<[^>]*>", "")
-    for entity, char in (("&nbsp;", " "), ("&deg;", "°"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.regexp_replace(plain, r"^[\s ]+|[\s ]+$", "")
+    """Cell markup to its text. Most cells hold neither tags nor entities and are only trimmed."""
+    plain = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, r"<[^>]*>", "")).otherwise(html)
+    decoded = plain
+    for entity, char in ENTITIES:
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.btrim(F.when(F.contains(html, F.lit("&")), decoded).otherwise(plain), F.lit(BLANKS))
 
 
 def gauge_readings(pages: DataFrame, column: str, *, keys: list[str], html: str = "html") -> DataFrame:
@@ -67,10 +73,11 @@ def gauge_readings(pages: DataFrame, column: str, *, keys: list[str], html: str
     without a table, date column or matching column give no rows; rows with an unreadable time are dropped.
     """
     prefix = column.split("_")[0].lower()
+    # Exploding a one-element array pins its value: without that, every later use would run the patterns again.
     table = F.coalesce(*[_table(F.col(html), name) for name in TABLE_CLASSES])
-    cut = pages.select(*keys, table.alias("_table")).where(F.col("_table").isNotNull())
+    cut = pages.select(*keys, F.explode(F.array_compact(F.array(table))).alias("_table"))
     raw = F.transform(_each(_inside(F.col("_table"), "thead"), "th"), _text)
-    headed = cut.withColumn("_raw", raw).withColumn(
+    headed = cut.select(*keys, "_table", F.explode(F.array(raw)).alias("_raw")).withColumn(
         "_heads",
         F.when(F.exists("_raw", lambda h: F.contains(h, F.lit(TIME_WORD))), F.col("_raw")).otherwise(
             F.concat(F.array(F.lit(BOTH_WORDS)), F.slice("_raw", 2, F.greatest(F.size("_raw"), F.lit(1))))
@@ -87,15 +94,14 @@ def gauge_readings(pages: DataFrame, column: str, *, keys: list[str], html: str
         F.array_position("_heads", F.try_element_at(measured, F.lit(1))).cast("int").alias("_value"),
     ).where((F.col("_value") > 0) & ((F.col("_both") > 0) | ((F.col("_date") > 0) & (F.col("_time") > 0))))
 
-    rows = placed.withColumn("_row", F.explode(_each(_inside(F.col("_table"), "tbody"), "tr")))
-    cells = F.transform(_each(F.col("_row"), "t[dh]"), _text)
+    cells = F.transform(_each(_inside(F.col("_table"), "tbody"), "tr"), lambda row: _each(row, "t[dh]"))
+    rows = placed.withColumn("_cells", F.explode(cells))
 
     def cell(index: str) -> Column:
-        return F.when(F.col(index) > 0, F.try_element_at("_cells", F.greatest(F.col(index), F.lit(1))))
+        return F.when(F.col(index) > 0, _text(F.try_element_at("_cells", F.greatest(F.col(index), F.lit(1)))))
 
     stamp = F.coalesce(cell("_both"), F.concat_ws(" ", cell("_date"), cell("_time")))
     return (
-        rows.withColumn("_cells", cells)
-        .select(*keys, gauge_wall_time(stamp).alias("wall"), decimal_comma(cell("_value")).alias("value"))
+        rows.select(*keys, gauge_wall_time(stamp).alias("wall"), decimal_comma(cell("_value")).alias("value"))
         .where(F.col("wall").isNotNull())
     )
