@@ -66,7 +66,7 @@ def _beta_cdf(a: np.ndarray, x: np.ndarray) -> np.ndarray:
 def beta_quantile(a: np.ndarray, p: np.ndarray) -> np.ndarray:
     """The x with I_x(a, 1/2) = p, by bisection in logit space and one array at a time."""
     a, p = np.broadcast_arrays(np.asarray(a, float), np.asarray(p, float))
-    low, high = np.full(p.shape, -745.0), np.full(p.shape, 36.0)
+    low, high = np.full(p.shape, -700.0), np.full(p.shape, 36.0)
     for _ in range(70):
         middle = (low + high) / 2
         under = _beta_cdf(a, 1.0 / (1.0 + np.exp(-middle))) < p
