@@ -149,10 +149,10 @@ def series_stats(spark, folder):
     return rounded(metrics.describe(fx.obs(spark, folder), "value"), *STAT_COLUMNS)
 
 
-@query(f"SELECT 'difference' AS series_id, {STATS} FROM (SELECT first_river - second_river AS value FROM pair)")
+@query(f"SELECT 'click-view' AS series_id, {STATS} FROM (SELECT first_river - second_river AS value FROM pair)")
 def series_diff_stats(spark, folder):
     diff = metrics.difference(fx.pair(spark, folder), "first_river", "second_river", "value")
-    return rounded(metrics.describe(diff.withColumn("series_id", F.lit("difference")), "value"), *STAT_COLUMNS)
+    return rounded(metrics.describe(diff, "value"), *STAT_COLUMNS)
 
 
 def _decomposed(kernels: tuple[int, ...]) -> str:

@@ -103,9 +103,9 @@ def pair(spark: SparkSession, folder: str) -> DataFrame:
     means = obs(spark, folder).groupBy("series_id", F.date_trunc("hour", "ts").alias("ts")).agg(
         F.avg("value").alias("value")
     )
-    click = means.where(F.col("series_id") == "click").select("ts", F.col("value").alias("first_river"))
-    view = means.where(F.col("series_id") == "view").select("ts", F.col("value").alias("second_river"))
-    return click.join(view, ["ts"])
+    click = means.where(F.col("series_id") == "click").select("ts", F.col("series_id").alias("_a"), F.col("value").alias("first_river"))
+    view = means.where(F.col("series_id") == "view").select("ts", F.col("series_id").alias("_b"), F.col("value").alias("second_river"))
+    return click.join(view, ["ts"]).select("ts", F.concat_ws("-", "_a", "_b").alias("series_id"), "first_river", "second_river")
 
 
 def daily(spark: SparkSession, folder: str) -> DataFrame:
