@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import named, round_half_even
-from hindcast.operators.blocks import BLOCK_SECONDS, framed, hour_number, with_neighbours
+from hindcast.operators.blocks import BLOCK_SECONDS, framed, hour_number, touch, with_neighbours
 from hindcast.operators.quantiles import exact_quantiles
 from hindcast.schemas import COVARIATE_LEAD
 
@@ -29,13 +29,10 @@ def regular_grid(df: DataFrame, *, keys: Sequence[str] = KEY, ts: str = "ts", st
 
 def on_grid(df: DataFrame, *, keys: Sequence[str] = KEY, ts: str = "ts", step: str = "hour") -> DataFrame:
     """Insert the missing steps of an already aggregated series as null rows."""
-    values = [c for c in df.columns if c not in (*keys, ts)]
-    # Counting every value column keeps this branch identical to the joined one up to the shuffle below it,
-    # so Spark scans and aggregates the readings once and reuses that shuffle.
-    seen = sum((F.count(c) for c in values), F.lit(0))
-    span = df.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"), seen.alias("_seen"))
+    df = df.where(F.col(ts).isNotNull())
+    span = df.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"), touch(df))
     steps = F.explode(F.sequence("_from", "_to", F.expr(f"interval 1 {step}"))).alias(ts)
-    grid = span.where(F.col("_seen") >= 0).select(*keys, steps)
+    grid = span.where(F.col("_touch").isNotNull()).select(*keys, steps)
     return grid.join(df, [*keys, ts], "left")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import is_honest, peak_label
@@ -16,6 +16,11 @@ WATER = CHANNELS[0]
 MARGIN = 0.5
 
 
+def issued_label(issued_at: Column, zone: str = LOCAL_ZONE) -> Column:
+    """Issue time for chart titles, in local time."""
+    return F.concat(F.lit("Issued "), F.date_format(to_local(issued_at, zone), "yyyy-MM-dd HH:mm"))
+
+
 def fan_lines(backtests: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Median line of each forecast with its label; dashed when it saw weather nobody could have known."""
     middle = backtests.where((F.col("channel") == WATER) & (F.col("q") == 0.5))

@@ -14,6 +14,8 @@ SETTINGS = {
     # Split a skewed join even where that costs one more shuffle for the aggregate that follows it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A window over (series, block) must not settle for rows that are partitioned by series alone.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
