@@ -5,16 +5,93 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hindcast.llm.common import table
+from hindcast.llm.chat_prefix import digests, prefix_examples
+from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
+from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
+
+
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licences(table(spark, folder, "documents"))
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return digests(settled(prefix_examples(rows), "prefix-examples"))
+
+
+def _licence_sql() -> str:
+    rows = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
+    grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
+    words = f"string_split(trim(regexp_replace(lower(text), '{MARKS}', ' ', 'g'), ' '), ' ')"
+    return f"""
+WITH licences(licence, text) AS (VALUES {rows}),
+templates AS (SELECT licence, {grams} AS t FROM (SELECT licence, {words} AS w FROM licences)),
+units AS (
+    SELECT doc_id, 'line' AS unit, unnest(range(1, len(p) + 1)) AS unit_no, unnest(p) AS text
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL)
+    UNION ALL
+    SELECT doc_id, 'paragraph', unnest(range(1, len(p) + 1)), unnest(p)
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\n\n+') AS p FROM documents WHERE contains(text, chr(10) || chr(10)))
+    UNION ALL
+    SELECT doc_id, 'text', 1, text FROM documents WHERE contains(text, chr(10))
+),
+split AS (SELECT doc_id, unit, unit_no, {words} AS w FROM units),
+sets AS (SELECT doc_id, unit, unit_no, {grams} AS g FROM split WHERE len(w) > 1),
+scored AS (
+    SELECT doc_id, unit, unit_no, licence, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
+    FROM sets JOIN templates
+      ON len(g) BETWEEN ceil(len(t) * {LEAST} / (2 - {LEAST}) - 1e-9) AND floor(len(t) * (2 - {LEAST}) / {LEAST} + 1e-9)
+)
+SELECT doc_id, unit, unit_no::INTEGER AS unit_no, licence, dice FROM scored WHERE dice >= {LEAST}
+QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC, licence) = 1
+"""
+
+
+def _prefix_sql() -> str:
+    def escaped(column: str) -> str:
+        out = f"replace({column}, '\\', '\\\\')"
+        for control in ("<s>", "</s>", "[INST]", "[/INST]"):
+            out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+        return out
+
+    return f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
+        count(*) OVER (PARTITION BY conv_id) AS n,
+        24 + length({escaped('role')}) + length({escaped('text')}) AS chars
+    FROM turns
+),
+summed AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM numbered)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    (sum(upto) FILTER (WHERE role = 'assistant' OR i = n))::BIGINT AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licences": op2_licences,
     "op8_mixing": op8_mixing,
+    "op10_prefix_targets": op10_prefix_targets,
+}
+SQL: dict[str, str] = {
+    "op2_licences": _licence_sql(),
+    "op10_prefix_targets": _prefix_sql(),
 }
-SQL: dict[str, str] = {}
