@@ -29,6 +29,11 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that long texts travel in by bytes, not by rows alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+
+
 def text_of(name: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -25,7 +25,7 @@ from hindcast.llm.common import settled, text_of, word_count
 
 MOST = 3.0  # a source's target is at most so many times its size
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
-CHUNK_ROWS = 20_000  # rows of one flight
+CHUNK_ROWS = 2_000  # rows of one flight
 HELD = 64  # units per source kept open for the landing
 TRIED = 14  # smallest units of the landing, all of whose subsets are tried
 NEAR = 1e-9

@@ -10,13 +10,33 @@ from pyspark.sql import functions as F
 from hindcast.llm.chat_prefix import digests, prefix_examples
 from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
+from hindcast.llm.fertility import judge_fertility
+from hindcast.llm.kneser_ney import score_toxicity
 from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
+from hindcast.llm.order_minhash import near_classes
+from hindcast.llm.quality_kernel import score_quality
+
+
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(table(spark, folder, "documents"))
 
 
+def op3_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_fertility(table(spark, folder, "documents"))
+
+
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_classes(table(spark, folder, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -87,7 +107,11 @@ FROM summed GROUP BY conv_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_licences": op2_licences,
+    "op3_fertility": op3_fertility,
+    "op4_order_minhash": op4_order_minhash,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op10_prefix_targets": op10_prefix_targets,
 }
