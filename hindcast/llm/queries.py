@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hindcast.llm.chat_prefix import digests, prefix_examples
 from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
+from hindcast.llm.decontaminate import find_leaks
 from hindcast.llm.fertility import judge_fertility
 from hindcast.llm.kneser_ney import score_toxicity
 from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
@@ -41,6 +42,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.range(2).select(
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_order_minhash": op4_order_minhash,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_decontamination": op9_decontamination,
     "op10_prefix_targets": op10_prefix_targets,
 }
 SQL: dict[str, str] = {
