@@ -5,13 +5,13 @@ A text is its lower-case words of letters and digits (its plain words where it h
 words are labelled with their occurrence number, so that repeats count. Each of ``SKETCHES`` hash functions picks the
 ``PICKED`` least k-mers and keeps them in text order; two texts that agree in one such sketch are candidates. A
 candidate pair is a link if its edit similarity ``1 - edits / longer length``, over words, is ``LEAST`` or more. Edits
-are counted exactly by furthest-reaching alignment inside the band of diagonals that this similarity leaves.
+are counted exactly by an alignment inside the band of diagonals that this similarity leaves.
 
 Classes are the connected components of the links; equal word sequences are one node from the start, so copies cost
 nothing. No bucket is expanded into all pairs: a bucket of at most ``SMALL`` texts is, in a larger one every text is
-aligned with one pivot, and the texts that are unlike their pivot go on, parted by a second sketch they agree in, with
-new pivots until every part is small. So in a crowded bucket a pair unlike its pivot must agree in two sketches instead
-of one.
+aligned with one pivot, and the texts that are unlike their pivot go on, parted by length (into overlapping bands no
+link can miss) and by a second sketch they agree in, with new pivots until every part is small. So in a crowded bucket a
+pair unlike its pivot must agree in two sketches instead of one.
 
 Defined results: null text counts as empty, and all texts without words are one class; a null id never names a class
 unless all of its class are null; the texts under a repeated id share a class; ties go to the least id; an empty table
@@ -36,7 +36,8 @@ K = 5
 LEAST = 0.8
 SKETCHES = 24
 PICKED = 2
-SMALL = 8
+SMALL = 8  # texts of a bucket that are compared pair by pair
+PART = 64  # the same for a part of a crowded bucket
 BLOCK = 1 << 16  # k-mers hashed at once
 CHUNK_CHARS = 4_000_000
 MADE_UP = 1 << 62  # from here on, names of nodes whose rows have no id; real ids lie below
@@ -97,7 +98,7 @@ def sketch(words: np.ndarray) -> np.ndarray:
     chosen = np.sort(np.take_along_axis(places, order, 1), axis=1)
     out = np.zeros(SKETCHES, np.uint64)
     for i in range(chosen.shape[1]):
-        out = mixed(out * STEP + grams[chosen[:, i]] + np.uint64(i))
+        out = mixed(out * STEP + marked[chosen[:, i]] + np.uint64(i))
     return out.astype(np.int64)
 
 
@@ -155,65 +156,50 @@ def shared_grams(a: np.ndarray, b: np.ndarray, q: int) -> int:
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """The number of word edits from ``a`` to ``b``, or None if more than ``most``.
 
-    One wave per edit over the diagonals of the band; each wave slides along equal runs, whose length is found by
-    halving on prefix hashes.
+    Banded alignment, a column at a time: the differences down a column of the band are the bits of two integers that
+    move one row down with every column, so a step costs a few operations on 2 * most bits.
     """
-    if abs(len(a) - len(b)) > most:
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > most:
         return None
-    a, b = a.astype(np.uint64) + np.uint64(1), b.astype(np.uint64) + np.uint64(1)
-    short = min(len(a), len(b))
-    unlike = np.flatnonzero(a[:short] != b[:short])
-    head = int(unlike[0]) if len(unlike) else short
+    unlike = np.flatnonzero(a[:len(b)] != b)
+    head = int(unlike[0]) if len(unlike) else len(b)
     a, b = a[head:], b[head:]
-    short = min(len(a), len(b))
-    unlike = np.flatnonzero(a[::-1][:short] != b[::-1][:short])
-    tail = int(unlike[0]) if len(unlike) else short
+    unlike = np.flatnonzero(a[len(a) - len(b):] != b)
+    tail = len(b) - 1 - int(unlike[-1]) if len(unlike) else len(b)
     a, b = a[:len(a) - tail], b[:len(b) - tail]
     n, m = len(a), len(b)
-    if not n or not m:
-        return max(n, m)  # at most the difference of the lengths
-    # An edit spoils q q-grams at most, so near texts share many: a cheap certain no for most other pairs.
-    for q in (1, 3):
-        if min(n, m) >= q and shared_grams(a, b, q) < max(n, m) - q + 1 - q * most:
-            return None
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.r_[np.uint64(1), np.full(max(n, m), MIX_A)])
-        upto_a = np.r_[np.uint64(0), np.cumsum(mixed(a) * power[:n])]
-        upto_b = np.r_[np.uint64(0), np.cumsum(mixed(b) * power[:m])]
-
-        def slide(x: np.ndarray, k: np.ndarray) -> np.ndarray:
-            y = x - k
-            left = np.minimum(n - x, m - y)
-            run = np.zeros(len(x), np.int64)
-            step = 1 << max(int(left.max(initial=0)).bit_length() - 1, 0)
-            while step:
-                can = np.flatnonzero(run + step <= left)
-                if len(can):
-                    xs, ys = x[can] + run[can], y[can] + run[can]
-                    same = (
-                        (upto_a[xs + step] - upto_a[xs]) * power[ys] == (upto_b[ys + step] - upto_b[ys]) * power[xs])
-                    run[can[same]] += step
-                step >>= 1
-            return x + run
-
-        reach = slide(np.zeros(1, np.int64), np.zeros(1, np.int64))
-        if n == m and reach[0] == n:
-            return 0
-        nowhere = -(1 << 40)
-        for edits in range(1, most + 1):
-            k = np.arange(-edits, edits + 1)
-            wide = np.concatenate([[nowhere] * 2, reach, [nowhere] * 2]).astype(np.int64)
-            # Substitute, drop a word of a, or add a word of b.
-            x = np.maximum(np.maximum(wide[1:-1] + 1, wide[:-2] + 1), wide[2:])
-            x = np.minimum(np.minimum(x, n), m + k)
-            fits = (x >= 0) & (x - k >= 0)
-            reach = np.full(len(k), nowhere, np.int64)
-            if fits.any():
-                reach[fits] = slide(x[fits], k[fits])
-            end = n - m + edits
-            if 0 <= end < len(k) and reach[end] >= n:
-                return edits
-    return None
+    if not m:
+        return n
+    # An edit spoils three 3-grams at most, so near texts share many: a cheap certain no for most other pairs.
+    if m > 2 and shared_grams(a.astype(np.uint64), b.astype(np.uint64), 3) < n - 2 - 3 * most:
+        return None
+    most_here = min(most, n)
+    width = 2 * most_here + 2
+    full = (1 << width) - 1
+    places: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | 1 << i
+    down, up = full >> (width - most_here - 1) << (width - most_here - 1), 0
+    start, edits = most_here + 1 - width, most_here
+    foot, enough = 1 << (width - 1), 2 * most + m - n
+    for j, x in enumerate(b.tolist()):
+        here = places.get(x, 0)
+        here = (here >> start if start >= 0 else here << -start) & full
+        level = ((((here & down) + down) ^ down) | here | up) & full
+        right, left = up | (full & ~(level | down)), level & down
+        if j < n - most_here:  # the foot of the band still moves down
+            edits += not level & foot
+            if edits > enough:
+                return None
+        else:  # along the last row
+            foot >>= 1
+            edits += bool(right & foot) - bool(left & foot)
+        down = left | (full & ~((level >> 1) | right))
+        up = (level >> 1) & right
+        start += 1
+    return edits if edits <= most else None
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float | None:
@@ -241,7 +227,7 @@ def of_like_length(n: str, m: str):
     return F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def next_pairs(members: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+def next_pairs(members: DataFrame, key: list[str], small: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs of this round, and the rows of large parts with their pivot.
 
     ``members`` has the key columns, node and n. The parts' sizes and pivots come from one aggregate.
@@ -249,15 +235,15 @@ def next_pairs(members: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame
     row = F.struct("node", "n")
     info = members.groupBy(*key).agg(F.count("*").alias("size"), F.min(row).alias("pivot")).where("size > 1")
     met = settled(members.join(info, key), "bucketed")
-    starred = met.where((F.col("size") > SMALL) & (F.col("node") != F.col("pivot.node")))
+    starred = met.where((F.col("size") > small) & (F.col("node") != F.col("pivot.node")))
     stars = starred.where(of_like_length("n", "pivot.n")).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-    listed = met.where(F.col("size") <= SMALL).groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("of"))
+    listed = met.where(F.col("size") <= small).groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("of"))
     first = listed.select(F.posexplode("of").alias("i", "x"), "of")
-    small = (
-        first.select("x", F.explode(F.slice("of", F.col("i") + 2, F.lit(SMALL))).alias("y"))
+    each = (
+        first.select("x", F.explode(F.slice("of", F.col("i") + 2, F.lit(small))).alias("y"))
         .where((F.col("x.node") != F.col("y.node")) & of_like_length("x.n", "y.n"))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    return stars.unionByName(small).distinct(), starred
+    return stars.unionByName(each).distinct(), starred
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -274,7 +260,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
     members = nodes.select("node", "n", F.posexplode("sketch").alias("j", "s"))
 
-    pairs, starred = next_pairs(members, ["j", "s"])
+    pairs, starred = next_pairs(members, ["j", "s"], SMALL)
     pairs = settled(pairs, "pairs")
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     words = settled(
@@ -286,11 +272,14 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = settled(unlike_pivot(starred, links).select("j", "s", "node", "n"), "rest")
     if rest.take(1):
         second = members.select("node", F.col("j").alias("j2"), F.col("s").alias("s2"))
-        rest = settled(rest.join(second, "node").where(F.col("j") < F.col("j2")), "rest")
-        key = ["j", "s", "j2", "s2"]
+        band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / LEAST)))
+        rest = settled(
+            rest.join(second, "node").where(F.col("j") < F.col("j2"))
+            .withColumn("band", F.explode(F.array(band, band + 1))), "rest")
+        key = ["j", "s", "j2", "s2", "band"]
         done = pairs
         while True:
-            pairs, starred = next_pairs(rest, key)
+            pairs, starred = next_pairs(rest, key, PART)
             fresh = settled(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
             done = done.unionByName(fresh)
             found.append(settled(aligned(fresh, words), "aligned"))
