@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hindcast.llm.arc_warc import archived
 from hindcast.llm.chat_prefix import digests, prefix_examples
 from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
@@ -34,6 +35,10 @@ def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents"))
 
 
+def op6_arc_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archived(table(spark, folder, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -116,12 +121,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
     "op3_fertility": op3_fertility,
     "op4_order_minhash": op4_order_minhash,
+    "op6_arc_warc": op6_arc_warc,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_prefix_targets": op10_prefix_targets,
 }
 SQL: dict[str, str] = {
+    "op6_arc_warc": """
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN best > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN best > page_id THEN best END AS refers_to
+FROM (
+    SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+        CASE WHEN strlen(h) >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS best
+    FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+""",
     "op2_licences": _licence_sql(),
     "op10_prefix_targets": _prefix_sql(),
 }
