@@ -13,6 +13,7 @@ from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
 from hindcast.llm.decontaminate import find_leaks
 from hindcast.llm.fertility import judge_fertility
+from hindcast.llm.html_trees import extract
 from hindcast.llm.kneser_ney import score_toxicity
 from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
 from hindcast.llm.order_minhash import near_classes
@@ -35,6 +36,10 @@ def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents"))
 
 
+def op5_html_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
+
+
 def op6_arc_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archived(table(spark, folder, "pages"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
     "op3_fertility": op3_fertility,
     "op4_order_minhash": op4_order_minhash,
+    "op5_html_trees": op5_html_trees,
     "op6_arc_warc": op6_arc_warc,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
