@@ -10,8 +10,8 @@ are counted exactly by an alignment inside the band of diagonals that this simil
 Classes are the connected components of the links; equal word sequences are one node from the start, so copies cost
 nothing. No bucket is expanded into all pairs: a bucket of at most ``SMALL`` texts is, in a larger one every text is
 aligned with one pivot, and the texts that are unlike their pivot go on, parted by length (into overlapping bands no
-link can miss) and by a second sketch they agree in, with new pivots until every part is small. So in a crowded bucket a
-pair unlike its pivot must agree in two sketches instead of one.
+link can miss) and by a second sketch they agree in; what is still crowded is parted by a third, and so on. So a pair
+unlike the pivots of its crowded parts must agree in a few of the ``SKETCHES`` instead of one.
 
 Defined results: null text counts as empty, and all texts without words are one class; a null id never names a class
 unless all of its class are null; the texts under a repeated id share a class; ties go to the least id; an empty table
@@ -258,9 +258,10 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.coalesce(F.min("doc_id"), made_up).alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "nodes")
     membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
-    members = nodes.select("node", "n", F.posexplode("sketch").alias("j", "s"))
+    members = nodes.select("node", "n", F.posexplode("sketch").alias("last", "s")).select(
+        "node", "n", "last", F.xxhash64("last", "s").alias("key"))
 
-    pairs, starred = next_pairs(members, ["j", "s"], SMALL)
+    pairs, starred = next_pairs(members, ["key"], SMALL)
     pairs = settled(pairs, "pairs")
     named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     words = settled(
@@ -268,25 +269,23 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .mapInPandas(short_words, "node long, words array<int>"), "words")
     links = settled(aligned(pairs, words), "aligned")
     found = [links]
-    # Texts unlike the pivot of a crowded bucket meet again where they agree in a second sketch.
-    rest = settled(unlike_pivot(starred, links).select("j", "s", "node", "n"), "rest")
-    if rest.take(1):
-        second = members.select("node", F.col("j").alias("j2"), F.col("s").alias("s2"))
-        band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / LEAST)))
-        rest = settled(
-            rest.join(second, "node").where(F.col("j") < F.col("j2"))
-            .withColumn("band", F.explode(F.array(band, band + 1))), "rest")
-        key = ["j", "s", "j2", "s2", "band"]
-        done = pairs
-        while True:
-            pairs, starred = next_pairs(rest, key, PART)
-            fresh = settled(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-            done = done.unionByName(fresh)
-            found.append(settled(aligned(fresh, words), "aligned"))
-            links = links.unionByName(found[-1])
-            rest = settled(unlike_pivot(starred, links).select(*key, "node", "n"), "rest")
-            if not rest.take(1):
-                break
+    # Texts unlike the pivot of a crowded bucket meet again where they agree in one more sketch.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / LEAST)))
+    rest = settled(
+        unlike_pivot(starred, links).select("key", "last", "node", "n")
+        .withColumn("band", F.explode(F.array(band, band + 1))).withColumn("key", F.xxhash64("key", "band")), "rest")
+    further = members.select("node", F.col("last").alias("next"), F.col("key").alias("next_key"))
+    done = pairs
+    while rest.take(1):
+        parted = settled(
+            rest.join(further, "node").where(F.col("last") < F.col("next"))
+            .select("node", "n", F.xxhash64("key", "next_key").alias("key"), F.col("next").alias("last")), "parted")
+        pairs, starred = next_pairs(parted, ["key"], PART)
+        fresh = settled(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        done = done.unionByName(fresh)
+        found.append(settled(aligned(fresh, words), "aligned"))
+        links = links.unionByName(found[-1])
+        rest = settled(unlike_pivot(starred, links).select("key", "last", "node", "n"), "rest")
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
