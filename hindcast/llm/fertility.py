@@ -24,8 +24,10 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType
+from pyspark.sql.types import BooleanType
 
-from hindcast.llm.common import WORD, text_of
+from hindcast.llm.common import WORD, small_batches, text_of
 
 VOCABULARIES = "/opt/tokenizers"
 BYTES_FILE, PIECES_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -195,23 +197,52 @@ def slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield part
 
 
-def judge_fertility(
-    docs: DataFrame, *, vocabularies: str = VOCABULARIES, bands: dict | None = None, script_bands: dict | None = None
-) -> DataFrame:
-    """One row per row of ``docs``: base counts, fertility measures, the band used, the verdict."""
+def worker_judge(docs: DataFrame, vocabularies: str, bands: dict | None, script_bands: dict | None):
+    """A function that readies a worker's judge: (batch of lang and text) to its counts, measures and verdicts."""
     files = [Path(vocabularies, name).read_bytes() for name in (BYTES_FILE, PIECES_FILE)]
     if max(map(len, files)) > MOST_BYTES:
         raise ValueError("a vocabulary file is too large to send to every worker")
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(files)
     bands, script_bands = BANDS if bands is None else bands, SCRIPT_BANDS if script_bands is None else script_bands
 
+    def ready():
+        both = Vocabularies(*shared.value)
+        return lambda batch: pd.concat([judged(part, both, bands, script_bands) for part in slices(batch)])
+
+    return ready
+
+
+def judge_fertility(
+    docs: DataFrame, *, vocabularies: str = VOCABULARIES, bands: dict | None = None, script_bands: dict | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: base counts, fertility measures, the band used, the verdict."""
+    ready = worker_judge(docs, vocabularies, bands, script_bands)
+
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ready = Vocabularies(*shared.value)
-        columns = [c.split()[0] for c in LAYOUT.split(", ")]
+        verdict, columns = ready(), [c.split()[0] for c in LAYOUT.split(", ")]
         for batch in batches:
-            for part in slices(batch):
-                yield judged(part, ready, bands, script_bands)[columns]
+            if len(batch):
+                yield verdict(batch)[columns]
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of().alias("text"))
     return rows.mapInPandas(judge, LAYOUT)
+
+
+def kept_by_fertility(
+    docs: DataFrame, *, vocabularies: str = VOCABULARIES, bands: dict | None = None, script_bands: dict | None = None
+) -> DataFrame:
+    """The rows of ``docs`` that are kept."""
+    ready = worker_judge(docs, vocabularies, bands, script_bands)
+
+    def keeps(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        verdict = ready()
+        for lang, text in parts:
+            if len(text):
+                yield verdict(pd.DataFrame({"doc_id": 0, "lang": lang, "text": text}))["kept"]
+            else:
+                yield pd.Series([], dtype=bool)
+
+    keep = F.pandas_udf(keeps, BooleanType(), PandasUDFType.SCALAR_ITER)
+    return docs.where(keep(F.col("lang").cast("string"), text_of()))

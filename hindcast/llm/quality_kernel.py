@@ -5,7 +5,8 @@ The features ``sqrt(2 / D) cos(W x + b)`` with normal ``W`` approximate a Gaussi
 Every partition sums its share of the normal equations; the sums are added and solved once. A part of the training rows
 stays out of the fit and calibrates the raw score.
 
-Only ``MAX_TRAIN`` labelled rows (in expectation, chosen by a hash of the id) fit the model; every text is scored whole.
+Only ``MAX_TRAIN`` labelled rows (in expectation, chosen by a hash of the id) fit the model; every text is scored whole,
+where it lies, without a shuffle.
 
 Defined results: null text counts as empty; null ids are scored but never learned from (their remainder is unknown);
 labels other than 0 and 1 are ignored; without training rows every score is 0.5, with one class the share of that
@@ -25,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from hindcast.llm.common import remainder, settled, share_of, text_of
+from hindcast.llm.common import remainder, settled, share_of, small_batches, text_of
 
-MAX_TRAIN = 100_000
+MAX_TRAIN = 40_000
 WIDTH = 256  # random features
 BANDWIDTH = 4.0  # of the kernel, in standard deviations
 RIDGE = 1e-3  # per training row
@@ -79,9 +80,8 @@ def statistics_of(text: str) -> list[float]:
     ]
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def document_statistics(text: pd.Series) -> pd.Series:
-    return text.map(statistics_of)
+def document_statistics(text: Column) -> Column:
+    return F.pandas_udf(lambda texts: texts.map(statistics_of), ArrayType(DoubleType()))(text)
 
 
 @dataclass(frozen=True)
@@ -130,17 +130,24 @@ def normal_equations(rows: DataFrame, centre: np.ndarray, spread: np.ndarray) ->
     return whole[:-1, :-1], whole[:-1, -1]
 
 
-def fit(training: DataFrame) -> Model | float:
-    """A model from rows (doc_id, x, y); a constant where there are no two classes."""
-    shares = training.groupBy("y").count().collect()
-    n = sum(r["count"] for r in shares)
+def training_rows(docs: DataFrame, labels: DataFrame, of: int, out: int) -> DataFrame:
+    """doc_id, y, x, calibrates of the bounded sample of labelled documents."""
+    marked = labelled(labels, "quality", of, out)
+    chosen = marked.where(share_of(F.col("doc_id"), min(1.0, MAX_TRAIN / max(marked.count(), 1))))
+    # At most about MAX_TRAIN ids.
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    return settled(
+        found.select(
+            "doc_id", "y", document_statistics(F.col("text")).alias("x"),
+            (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(1000)) < int(1000 * CALIBRATES)).alias("calibrates")),
+        "quality-train")
+
+
+def fit(sample: DataFrame) -> Model | float:
+    """A model from rows (y, x, calibrates); a constant where there are no two classes."""
+    shares = sample.groupBy("y").count().collect()
     if len(shares) < 2:
         return float(shares[0]["y"]) if shares else 0.5
-    sample = settled(
-        training.where(share_of(F.col("doc_id"), min(1.0, MAX_TRAIN / n)))
-        .withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(1000)) < int(1000 * CALIBRATES))
-        .repartition(16, "doc_id"),
-        "quality-train")
     fitting = sample.where(~F.col("calibrates"))
     moments = (
         fitting.select(F.posexplode("x").alias("i", "v")).groupBy("i")
@@ -172,23 +179,31 @@ def labelled(labels: DataFrame, column: str, of: int, out: int) -> DataFrame:
         .where(F.col("y").isin(0.0, 1.0) & (remainder(F.col("doc_id"), of) != out)))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, *, of: int = 4, out: int = 2) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per row of ``docs``. The texts are scanned once."""
-    measured = settled(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), document_statistics(text_of()).alias("x")), "quality-statistics")
-    model = fit(labelled(labels, "quality", of, out).join(measured, "doc_id"))
-    score = F.lit(model) if isinstance(model, float) else scorer(docs, model)
-    return measured.select(
-        "doc_id", F.coalesce(remainder(F.col("doc_id"), of) == out, F.lit(False)).alias("held_out"),
-        score.alias("score"),
-    ).withColumn("predicted", (F.col("score") >= KEEP_FROM).cast("int"))
+def quality_score(docs: DataFrame, labels: DataFrame, of: int, out: int) -> Column:
+    """The calibrated score of ``text``, by a model fitted on ``docs`` and ``labels``."""
+    small_batches(docs.sparkSession)
+    model = fit(training_rows(docs, labels, of, out))
+    if isinstance(model, float):
+        return F.lit(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def score(texts: pd.Series) -> pd.Series:
+        if not len(texts):
+            return pd.Series([], dtype=float)
+        return pd.Series(shared.value.score(np.array([statistics_of(t) for t in texts])))
 
-def scorer(docs: DataFrame, model: Model) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return F.pandas_udf(score, DoubleType())(text_of())
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, *, of: int = 4, out: int = 2) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row per row of ``docs``."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        doc_id.alias("doc_id"), F.coalesce(remainder(doc_id, of) == out, F.lit(False)).alias("held_out"),
+        quality_score(docs, labels, of, out).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= KEEP_FROM).cast("int"))
 
-    @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(np.stack(x.to_list())) if len(x) else [], dtype=float)
 
-    return score("x")
+def kept_by_quality(docs: DataFrame, labels: DataFrame, *, of: int = 4, out: int = 2) -> DataFrame:
+    """The rows of ``docs`` that score ``KEEP_FROM`` or more."""
+    return docs.where(quality_score(docs, labels, of, out) >= KEEP_FROM)
