@@ -6,15 +6,14 @@ SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def prose(rng: random.Random, n: int, vocabulary: int = 900) -> str:
-    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 7 % 26)}o" for i in range(vocabulary)]
-    return " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+STEMS = (
+    "water stone house light river field winter summer garden market paper silver bridge forest mountain letter window "
+    "music island harbor morning evening village castle engine flower animal planet doctor teacher").split()
 
 
-@pytest.fixture(scope="session")
-def shared(spark, tmp_path_factory):
-    """The session names no shared folder, so the tests name one."""
-    return tmp_path_factory.mktemp("shared")
+def prose(rng: random.Random, n: int, vocabulary: int = 900) -> str:
+    words = [a + b for a in STEMS for b in STEMS][:vocabulary]
+    return " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
 
 
 @pytest.fixture(scope="session")

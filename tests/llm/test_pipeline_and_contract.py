@@ -25,7 +25,7 @@ def test_stages_on_planted_rows(spark, tmp_path):
     item = prose(rng, 40)
     rows[31][1] += " " + item
     rows[41][1] = rows[40][1]
-    rows[43][1] = rows[44][1].replace("o ", "u ", 2)
+    rows[43][1] = rows[44][1].replace(" ", " also ", 1)
     rows[51][1] = " ".join(rows[51][1].split()[:30])
     spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, int(i % 6 != 0), 0) for i in range(0, 600)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
