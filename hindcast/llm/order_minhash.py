@@ -9,9 +9,9 @@ are counted exactly by an alignment inside the band of diagonals that this simil
 
 Classes are the connected components of the links; equal word sequences are one node from the start, so copies cost
 nothing. No bucket is expanded into all pairs: a bucket of at most ``SMALL`` texts is, in a larger one every text is
-aligned with one pivot, and the texts that are unlike their pivot go on, parted by length (into overlapping bands no
-link can miss) and by a second sketch they agree in; what is still crowded is parted by a third, and so on. So a pair
-unlike the pivots of its crowded parts must agree in a few of the ``SKETCHES`` instead of one.
+aligned with one pivot, and the texts that do not end in the class of their pivot go on, parted by length (into
+overlapping bands no link can miss) and by a second sketch they agree in; what is still crowded is parted by a third, and
+so on. So a pair unlike the pivots of its crowded parts must agree in a few of the ``SKETCHES`` instead of one.
 
 Defined results: null text counts as empty, and all texts without words are one class; a null id never names a class
 unless all of its class are null; the texts under a repeated id share a class; ties go to the least id; an empty table
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import settled, small_batches, text_of
@@ -223,31 +223,39 @@ def aligned(pairs: DataFrame, words: DataFrame) -> DataFrame:
         check, "a long, b long, similarity double")
 
 
-def of_like_length(n: str, m: str):
+def of_like_length(n: Column, m: Column) -> Column:
     return F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def next_pairs(members: DataFrame, key: list[str], small: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of this round, and the rows of large parts with their pivot.
+def next_pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of all parts of ``members`` (key, last, node, n, class) with their size and pivot, and candidate pairs
+    among them. Texts of one class need no more links and are not paired.
 
-    ``members`` has the key columns, node and n. The parts' sizes and pivots come from one aggregate.
+    The parts' sizes and pivots come from one aggregate; only parts of at most ``small`` rows are ever collected.
     """
-    row = F.struct("node", "n")
-    info = members.groupBy(*key).agg(F.count("*").alias("size"), F.min(row).alias("pivot")).where("size > 1")
-    met = settled(members.join(info, key), "bucketed")
-    starred = met.where((F.col("size") > small) & (F.col("node") != F.col("pivot.node")))
-    stars = starred.where(of_like_length("n", "pivot.n")).select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-    listed = met.where(F.col("size") <= small).groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("of"))
+    row = F.struct("node", "n", "class")
+    info = members.groupBy("key").agg(F.count("*").alias("size"), F.min(row).alias("pivot")).where("size > 1")
+    met = settled(members.join(info, "key"), "bucketed")
+    crowded = met.where((F.col("size") > small) & (F.col("class") != F.col("pivot.class")))
+    stars = crowded.where(of_like_length(F.col("n"), F.col("pivot.n"))).select(
+        F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+    listed = met.where(F.col("size") <= small).groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("of"))
     first = listed.select(F.posexplode("of").alias("i", "x"), "of")
-    each = (
-        first.select("x", F.explode(F.slice("of", F.col("i") + 2, F.lit(small))).alias("y"))
-        .where((F.col("x.node") != F.col("y.node")) & of_like_length("x.n", "y.n"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    return stars.unionByName(each).distinct(), starred
+    others = F.filter(
+        F.slice("of", F.col("i") + 2, F.lit(small)),
+        lambda y: (y["class"] != F.col("x.class")) & of_like_length(F.col("x.n"), y["n"]))
+    each = first.select("x", F.explode(others).alias("y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return met, stars.unionByName(each).distinct()
 
 
-def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node) of every row, where equal word sequences share a node, and the links (a, b, similarity)."""
+def with_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with the class of their node; a node without links is its own."""
+    return rows.drop("class").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+
+
+def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, node) of every row, where equal word sequences share a node, the class of every linked node, and the
+    links (a, b, similarity) that were needed to tell the classes."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = settled(
@@ -259,43 +267,42 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "nodes")
     membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
     members = nodes.select("node", "n", F.posexplode("sketch").alias("last", "s")).select(
-        "node", "n", "last", F.xxhash64("last", "s").alias("key"))
+        F.xxhash64("last", "s").alias("key"), "last", "node", "n", F.col("node").alias("class"))
 
-    pairs, starred = next_pairs(members, ["key"], SMALL)
-    pairs = settled(pairs, "pairs")
-    named = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    met, pairs = next_pairs(members, SMALL)
+    # The ids of texts with any candidate grow with the corpus, so they are merged and never broadcast.
+    named = met.select("node").distinct().hint("merge")
     words = settled(
         texts.join(named, texts["doc_id"] == named["node"]).select("node", "text")
         .mapInPandas(short_words, "node long, words array<int>"), "words")
-    links = settled(aligned(pairs, words), "aligned")
-    found = [links]
-    # Texts unlike the pivot of a crowded bucket meet again where they agree in one more sketch.
+    found = settled(aligned(pairs, words), "aligned")
+    classes = components(found)
+    # Texts outside the class of a crowded bucket's pivot meet again where they agree in one more sketch.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / LEAST)))
+    crowded = met.where(F.col("size") > SMALL).withColumn("banded", F.explode(F.array(band, band + 1)))
     rest = settled(
-        unlike_pivot(starred, links).select("key", "last", "node", "n")
-        .withColumn("band", F.explode(F.array(band, band + 1))).withColumn("key", F.xxhash64("key", "band")), "rest")
+        unlike_pivot(crowded, classes).select(F.xxhash64("key", "banded").alias("key"), "last", "node", "n", "class"), "rest")
     further = members.select("node", F.col("last").alias("next"), F.col("key").alias("next_key"))
-    done = pairs
+    more = False
     while rest.take(1):
-        parted = settled(
-            rest.join(further, "node").where(F.col("last") < F.col("next"))
-            .select("node", "n", F.xxhash64("key", "next_key").alias("key"), F.col("next").alias("last")), "parted")
-        pairs, starred = next_pairs(parted, ["key"], PART)
-        fresh = settled(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(fresh)
-        found.append(settled(aligned(fresh, words), "aligned"))
-        links = links.unionByName(found[-1])
-        rest = settled(unlike_pivot(starred, links).select("key", "last", "node", "n"), "rest")
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return membership, whole
-
-
-def unlike_pivot(starred: DataFrame, links: DataFrame) -> DataFrame:
-    ends = links.select("a", "b")
-    return starred.withColumn("a", F.col("pivot.node")).join(
-        ends.withColumnRenamed("b", "node"), ["a", "node"], "left_anti")
+        parted = rest.join(further, "node").where(F.col("last") < F.col("next")).select(
+            F.xxhash64("key", "next_key").alias("key"), F.col("next").alias("last"), "node", "n", "class")
+        met, pairs = next_pairs(parted, PART)
+        fresh = settled(aligned(pairs, words), "aligned")
+        found, more = found.unionByName(fresh), True
+        near = fresh.select(F.col("a").alias("near_a"), F.col("b").alias("near_b"))
+        left = met.where((F.col("size") > PART) & (F.col("class") != F.col("pivot.class")))
+        rest = settled(
+            left.join(near, (F.col("near_a") == F.col("pivot.node")) & (F.col("near_b") == F.col("node")), "left_anti")
+            .select("key", "last", "node", "n", "class"), "rest")
+    return membership, components(found) if more else classes, found
+
+
+def unlike_pivot(crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of crowded parts whose class is not that of their pivot."""
+    pivots = classes.select(F.col("node").alias("pivot_node"), F.col("class").alias("pivot_class"))
+    told = with_class(crowded, classes).join(pivots, F.col("pivot.node") == F.col("pivot_node"), "left")
+    return told.where(F.col("class") != F.coalesce("pivot_class", "pivot.node"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -304,9 +311,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     ``class_id`` is the least id of the near-duplicate class, ``copy_of`` the least id with the same words. Both are
     null only where no row of theirs has an id.
     """
-    membership, links = near_links(docs)
-    classes = components(links.select("a", "b"))
-    named = membership.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    membership, classes, _ = near_links(docs)
+    named = with_class(membership, classes)
     return named.select(
         "doc_id", F.when(F.col("class") < MADE_UP, F.col("class")).alias("class_id"),
         F.when(F.col("node") < MADE_UP, F.col("node")).alias("copy_of"))

@@ -94,7 +94,7 @@ def test_pairs_are_not_all_pairs(spark):
     hot = prose(rng, 80).split()
     docs = spark.createDataFrame(
         [(i, " ".join(edited(rng, hot, 1)), "en", "s", 1) for i in range(300)], DOCS)
-    membership, links = near_links(docs)
+    membership, classes, links = near_links(docs)
     assert links.count() < 300 * 24
     assert near_classes(docs).select("class_id").distinct().count() == 1
 
