@@ -37,8 +37,8 @@ def gauge_wall_time(text: Column) -> Column:
 
 
 def decimal_comma(text: Column) -> Column:
-    """Number text with a decimal comma to double, null when it is not a number."""
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    """Number text with a decimal comma to double; anything else, the text NaN included, is null."""
+    return nan_to_null(F.replace(text, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def round_half_even(value: Column, digits: int = 2) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from hindcast.schemas import LOCAL_ZONE
 
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+# Zones had one fixed offset before clocks were regulated; times outside these years raise an error.
+FIRST_YEAR, LAST_YEAR = 1800, 2400
 
 _ZONE_YEAR = T.StructType([
     T.StructField("_year", T.IntegerType()),
@@ -95,7 +96,8 @@ def from_local(
     in_gap = F.filter("_changes", lambda c: (second >= c.at + c.before) & (second < c.at + c.after))
     in_fold = F.filter("_changes", lambda c: (second >= c.at + c.after) & (second < c.at + c.before))
     passed = F.filter("_changes", lambda c: second >= c.at + F.greatest(c.before, c.after))
-    offset = F.coalesce(F.try_element_at(passed, F.lit(-1)).after, F.col("_base"))
+    outside = F.raise_error(F.concat(F.lit("no clock changes known for the year "), F.year(wall).cast("string"))).cast("long")
+    offset = F.coalesce(F.try_element_at(passed, F.lit(-1)).after, F.col("_base"), outside)
 
     placed = placed.select(
         *df.columns,

@@ -83,13 +83,18 @@ def crps_steps(df: DataFrame, *, keys: Sequence[str] = STEP, actual: str = "actu
 
 
 def crps_midpoint_steps(df: DataFrame, *, keys: Sequence[str] = STEP, actual: str = "actual") -> DataFrame:
-    """Per step: the midpoint variant, integrating over the value axis between neighbouring quantiles."""
+    """Per step: the midpoint variant, integrating over the value axis between neighbouring quantiles.
+
+    A step with an unknown quantile or actual has no score: leaving its area out would make it look better.
+    """
     w = _curve_window(keys)
     v, q = F.col("value"), F.col("q")
     middle, level = (v + F.lag("value").over(w)) / 2, (q + F.lag("q").over(w)) / 2
     weight = F.when(F.col(actual) < middle, level * level).otherwise((1 - level) * (1 - level))
     part = weight * (v - F.lag("value").over(w))
-    return df.withColumn("_part", part).groupBy(*keys).agg(F.coalesce(F.sum("_part"), F.lit(0.0)).alias("crps"))
+    unknown = F.count_if(v.isNull() | F.isnan(v) | F.col(actual).isNull())
+    total = F.coalesce(F.sum("_part"), F.lit(0.0))
+    return df.withColumn("_part", part).groupBy(*keys).agg(F.when(unknown == 0, total).alias("crps"))
 
 
 def interval_score(actual: Column, low: Column, high: Column, alpha: float) -> Column:

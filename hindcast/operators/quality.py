@@ -12,7 +12,7 @@ from hindcast.operators.metrics import coverage
 from hindcast.schemas import HORIZON, MIN_COVERAGE, PLAUSIBLE_RANGES
 
 
-class ImplausibleForecast(RuntimeError):
+class GateFailed(RuntimeError):
     """A finished run that must not be published."""
 
 
@@ -88,4 +88,4 @@ def enforce(verdicts: DataFrame, what: str) -> None:
     failed = verdicts.where(~F.col("passed")).select(F.to_json(F.struct("*")).alias("row"))
     summary = failed.agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("example")).first()
     if summary.n:
-        raise ImplausibleForecast(f"{what}: {summary.n} failed, for example {summary.example}")
+        raise GateFailed(f"{what}: {summary.n} failed, for example {summary.example}")

@@ -14,7 +14,7 @@ def stamp_forecast(df: DataFrame, *, kind: str, covariate_source: str, issued_at
                    code_version: str = "") -> DataFrame:
     """Attach provenance to forecast rows that are about to be archived."""
     if kind not in KIND_RANKS:
-        raise ValueError(f"unknown kind {kind!r}, expected one of {sorted(KIND_RANKS)}")
+        raise ValueError(f"kind {kind!r} has no precedence; known are {sorted(KIND_RANKS)}")
     return (
         df.withColumn("kind", F.lit(kind))
         .withColumn("covariate_source", F.lit(covariate_source))
@@ -27,10 +27,24 @@ def stamp_forecast(df: DataFrame, *, kind: str, covariate_source: str, issued_at
 def require_known_kinds(df: DataFrame) -> DataFrame:
     """Fail the job when a row to be archived has a kind outside the precedence order."""
     known = F.coalesce(F.col("kind").isin(*KIND_RANKS), F.lit(False))
-    fail = F.raise_error(F.concat(F.lit("unknown kind "), F.coalesce("kind", F.lit("null")))).cast("string")
+    fail = F.raise_error(F.concat(F.lit("kind without precedence: "), F.coalesce("kind", F.lit("null")))).cast("string")
     return df.withColumn("kind", F.when(known, F.col("kind")).otherwise(fail))
 
 
+def in_write_order(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Both sides with ``_seq``, the order in which rows were written.
+
+    Stored rows keep the ``write_seq`` they came with, so a batch that was cut differently, or delivered late, meets the
+    same order. A batch without any is the latest write; once stored, it gives way to every numbered one.
+    """
+    def ordered(df: DataFrame, missing: int) -> DataFrame:
+        known = F.col("write_seq").cast("bigint") if "write_seq" in df.columns else F.lit(None).cast("bigint")
+        return df.withColumn("_seq", F.coalesce(known, F.lit(missing)))
+
+    both = ordered(existing, -1).unionByName(ordered(incoming, (1 << 63) - 1), allowMissingColumns=True)
+    return both if "write_seq" in existing.columns else both.drop("write_seq")
+
+
 def merge_forecasts(existing: DataFrame, incoming: DataFrame, *, long: bool = False) -> DataFrame:
     """Stored and new forecast rows under the precedence rule.
 
@@ -38,10 +52,7 @@ def merge_forecasts(existing: DataFrame, incoming: DataFrame, *, long: bool = Fa
     issue times the later write. ``long=True`` treats ``(channel, q)`` as part of the row's identity.
     """
     keys = ["series_id", "reference_time", "target_time", *(["channel", "q"] if long else [])]
-    stored = existing.withColumn("_seq", F.lit(-1).cast("bigint"))
-    order = F.col("write_seq").cast("bigint") if "write_seq" in incoming.columns else F.lit(0).cast("bigint")
-    arriving = require_known_kinds(incoming).withColumn("_seq", order).drop("write_seq")
-    both = stored.unionByName(arriving, allowMissingColumns=True)
+    both = in_write_order(existing, require_known_kinds(incoming))
     return resolve_precedence(both, keys, tie=("_seq",)).drop("_seq")
 
 
@@ -52,12 +63,9 @@ def merge_snapshots(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     whole batch a snapshot therefore survives exactly when it is the last write of its anchor and of its fetch.
     ``incoming`` may carry ``write_seq`` to order several snapshots.
     """
-    order = F.col("write_seq").cast("bigint") if "write_seq" in incoming.columns else F.lit(0).cast("bigint")
-    stored = existing.withColumn("_seq", F.lit(-1).cast("bigint"))
-    arriving = incoming.withColumn("_seq", order).drop("write_seq")
     # A new snapshot without an anchor is anchored at its fetch; a stored one keeps its missing anchor.
-    arriving = arriving.withColumn("reference_time", F.coalesce("reference_time", "fetched_at"))
-    both = stored.unionByName(arriving, allowMissingColumns=True)
+    arriving = incoming.withColumn("reference_time", F.coalesce("reference_time", "fetched_at"))
+    both = in_write_order(existing, arriving)
     both = both.withColumn("_month", month_key(F.coalesce("reference_time", "fetched_at")))
 
     identity = ["series_id", "reference_time", "fetched_at", "_seq"]
@@ -84,11 +92,9 @@ def merge_snapshots(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def merge_observations(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Stored and new measurements: the value of the latest batch wins for each time."""
-    order = F.col("write_seq").cast("bigint") if "write_seq" in incoming.columns else F.lit(0).cast("bigint")
-    stored = existing.withColumn("_seq", F.lit(-1).cast("bigint"))
-    both = stored.unionByName(incoming.withColumn("_seq", order).drop("write_seq"), allowMissingColumns=True)
+    both = in_write_order(existing, incoming)
     # Two values of one batch for one time have no stated order; the larger is kept so that reruns agree.
-    rest = [named(c).desc_nulls_last() for c in existing.columns if c not in ("series_id", "ts")]
+    rest = [named(c).desc_nulls_last() for c in existing.columns if c not in ("series_id", "ts", "write_seq")]
     return keep_one(both, ["series_id", "ts"], [F.desc("_seq"), *rest]).drop("_seq")
 
 

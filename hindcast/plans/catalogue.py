@@ -497,13 +497,14 @@ def crps_trapz(spark, folder):
     return rounded(steps.groupBy("series_id").agg(F.avg("crps").alias("crps"), F.count(F.lit(1)).alias("steps")), "crps")
 
 
-@query("""SELECT series_id, round(avg(crps), 6) AS crps FROM (SELECT series_id, target_time, coalesce(sum(part), 0) AS crps FROM (
+@query("""SELECT series_id, round(avg(crps), 6) AS crps FROM (SELECT series_id, target_time,
+    CASE WHEN count(*) FILTER (WHERE value IS NULL OR actual IS NULL) = 0 THEN coalesce(sum(part), 0) END AS crps FROM (
     SELECT *, CASE WHEN actual < (value + lag(value) OVER w) / 2 THEN power((q + lag(q) OVER w) / 2, 2) ELSE power(1 - (q + lag(q) OVER w) / 2, 2) END
-    * (value - lag(value) OVER w) AS part FROM quantiles WHERE value IS NOT NULL
+    * (value - lag(value) OVER w) AS part FROM quantiles
     WINDOW w AS (PARTITION BY series_id, reference_time, target_time ORDER BY q)) GROUP BY 1, 2) GROUP BY 1""")
 def crps_midpoint(spark, folder):
-    known = fx.quantiles(spark, folder).where(F.col("value").isNotNull())
-    return rounded(metrics.crps_midpoint_steps(known).groupBy("series_id").agg(F.avg("crps").alias("crps")), "crps")
+    steps = metrics.crps_midpoint_steps(fx.quantiles(spark, folder))
+    return rounded(steps.groupBy("series_id").agg(F.avg("crps").alias("crps")), "crps")
 
 
 @query("""SELECT series_id, round(avg(CASE WHEN low IS NOT NULL AND high IS NOT NULL THEN (high - low) + 2 / 0.5 * greatest(low - actual, 0)
@@ -769,7 +770,7 @@ def spans(spark, folder):
     f"""SELECT series_id, hour, q, round(CASE WHEN q = 0.5 THEN location + greatest(scale, 1e-6) * raw_loc ELSE location + greatest(scale, 1e-6) *
     (raw_loc + width * sign(q - 0.5) * sqrt(freedom) * tan((lo + hi) / 2)) END, 3) AS value FROM solved""",
     raw_params="""SELECT event_type AS series_id, hour(ts)::INTEGER AS hour, avg(value) / 10 AS location, stddev_pop(value) / 10 AS scale,
-        (avg(user_id) / 40) AS raw_freedom, (avg(value) - 50) / 100 AS raw_loc, ln(1 + count(*)) / 10 AS raw_scale FROM events GROUP BY 1, 2""",
+        (avg(user_id) / 40 * CASE WHEN hour(ts) % 3 = 0 THEN 100 ELSE 1 END) AS raw_freedom, (avg(value) - 50) / 100 AS raw_loc, ln(1 + count(*)) / 10 AS raw_scale FROM events GROUP BY 1, 2""",
     t_params=f"""SELECT *, greatest(raw_freedom, 0) + ln(1 + exp(-abs(raw_freedom))) + 2 AS freedom,
         greatest(raw_scale, 0) + ln(1 + exp(-abs(raw_scale))) + 1e-6 AS width FROM raw_params, (SELECT unnest({sq.LEVEL_LIST}) AS q)""",
     # Share of a Student-t between 0 and sqrt(v) * tan(a): integral of cos^(v-1), by Simpson's rule.
@@ -785,7 +786,7 @@ def t_quantiles(spark, folder):
     """Distribution parameters per series and hour, expanded to seven quantiles."""
     raw = fx.events(spark, folder).groupBy(F.col("event_type").alias("series_id"), F.hour("ts").alias("hour")).agg(
         (F.avg("value") / 10).alias("location"), (F.stddev_pop("value") / 10).alias("scale"),
-        (F.avg("user_id") / 40).alias("raw_freedom"), ((F.avg("value") - 50) / 100).alias("raw_loc"),
+        (F.avg("user_id") / 40 * F.when(F.hour("ts") % 3 == 0, 100).otherwise(1)).alias("raw_freedom"), ((F.avg("value") - 50) / 100).alias("raw_loc"),
         (F.log(1 + F.count(F.lit(1))) / 10).alias("raw_scale"),
     )
     out = expand_quantiles(raw, QUANTILES, raw_freedom="raw_freedom", raw_loc="raw_loc", raw_scale="raw_scale")

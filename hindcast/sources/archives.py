@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindcast.functions.scalars import as_utc, month_key, named
+from hindcast.functions.scalars import as_utc, month_key, named, nan_to_null
 from hindcast.operators.reshape import metadata_first
 from hindcast.operators.upserts import merge_forecasts, merge_observations, merge_snapshots, stamp_forecast
 from hindcast.schemas import LEGACY_VERSION, SOURCE_LIVE
 from hindcast.session import ready_checkpoints
 
 MONTH = "ref_month"
+# The order in which rows were written stays with them, so that a late delivery of an older write loses.
+ORDER = T.StructField("write_seq", T.LongType())
 
 
 def _absent(error: AnalysisException) -> bool:
@@ -69,6 +71,8 @@ def _cell(raw: DataFrame, field: T.StructField) -> Column:
     text = named(field.name)
     if isinstance(field.dataType, T.TimestampType):
         return as_utc(text)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return nan_to_null(text.try_cast(field.dataType))
     return text.try_cast(field.dataType)
 
 
@@ -109,7 +113,8 @@ def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
     months = touched_months(incoming, time)
     if not months:
         return []
-    merged = merge(read_store(spark, path, schema, months), incoming).checkpoint()
+    layout = T.StructType([f for f in schema.fields if f.name != ORDER.name] + [ORDER])
+    merged = merge(read_store(spark, path, layout, months), incoming).checkpoint()
     write_months(merged, path, time)
     return months
 
@@ -117,7 +122,7 @@ def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
 def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
     """Store forecasts under the precedence rule; a forecast stays in the month of its reference time."""
     if incoming.isEmpty():
-        raise ValueError("refusing to archive an empty forecast")
+        raise ValueError("a forecast batch to be stored has no rows")
     long = "channel" in schema.names
     return _upsert(incoming, path, schema, F.col("reference_time"),
                    lambda old, new: metadata_first(merge_forecasts(old, new, long=long)))
@@ -126,7 +131,7 @@ def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType) -> li
 def upsert_snapshots(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
     """Store weather snapshots, one per anchor. Times of fetch are given as ``fetched_at``."""
     if incoming.isEmpty():
-        raise ValueError("refusing to archive an empty weather snapshot")
+        raise ValueError("a snapshot batch to be stored has no rows")
     return _upsert(incoming, path, schema, F.coalesce("reference_time", "fetched_at"), merge_snapshots)
 
 
@@ -154,7 +159,7 @@ def migrate_legacy(spark: SparkSession, legacy: str, path: str, schema: T.Struct
     owner = F.col("series_id") if "series_id" in raw.columns else F.lit(series_id)
     rows = raw.select(
         owner.alias("series_id"), *[as_utc(F.col(c)).alias(c) for c in times],
-        *[named(c).try_cast("double").alias(c) for c in values],
+        *[nan_to_null(named(c).try_cast("double")).alias(c) for c in values],
     )
     stamped = stamp_forecast(
         rows, kind="live", covariate_source=SOURCE_LIVE, issued_at=F.col("reference_time"),

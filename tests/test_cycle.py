@@ -156,7 +156,7 @@ def test_refusals(spark, tmp_path):
         run_cycle(str(tmp_path), gauge.withColumn("value", F.lit(None).cast("double")), weather, fetched_at=LAST)
     with pytest.raises(Exception, match="not enough data: 5000 regular rows are required"):
         run_cycle(str(tmp_path), gauge, weather, fetched_at=LAST, rows=5000)
-    with pytest.raises(quality.ImplausibleForecast, match="plausible range"):
+    with pytest.raises(quality.GateFailed, match="plausible range"):
         run_cycle(str(tmp_path / "hot"), gauge.withColumn("value", F.col("value") + 300), weather, fetched_at=LAST, rows=ROWS, horizon=HORIZON)
 
 

@@ -157,7 +157,7 @@ def test_gates(spark):
     assert all(r.passed for r in quality.range_gate(rows).collect())
     hot = quantile_rows(spark, good[:2] + [{q: 300.0 for q in QUANTILES}], [1.0] * 3)
     assert not any(r.passed for r in quality.range_gate(hot).collect())
-    with pytest.raises(quality.ImplausibleForecast, match="7 failed"):
+    with pytest.raises(quality.GateFailed, match="7 failed"):
         quality.enforce(quality.range_gate(hot), "ranges")
     missing = quantile_rows(spark, [{0.5: None}, {0.5: 1.0}], [1.0] * 2)
     row = quality.range_gate(missing).first()
@@ -215,3 +215,11 @@ def test_text_and_names(spark):
         (-1, "Backtest -96h (odd)", "airtemp_96", 0.5)]
     numbers = spark.createDataFrame([(0.125,), (0.135,), (2.675,), (-0.125,)], "x double").select(scalars.round_half_even(F.col("x")).alias("y")).collect()
     assert [r.y for r in numbers] == list(np.round([0.125, 0.135, 2.675, -0.125], 2))
+
+
+@pytest.mark.parametrize("freedom,expected", [
+    (2.1, -6.530822), (5.0, -3.364930), (150.0, -2.351457), (199.9, -2.345242), (200.0, -2.345137), (500.0, -2.333829), (1e3, -2.330083),
+    (1e5, -2.326385), (1e6, -2.326352),
+])
+def test_t_quantile_over_all_freedoms(freedom, expected):
+    assert float(t_quantile(0.01, freedom, 0.0)) == pytest.approx(expected, abs=2e-4)

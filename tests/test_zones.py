@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 import pytest
@@ -67,3 +68,10 @@ def test_instants_to_wall_time(spark):
     df = spark.sql("select timestamp'2026-07-01 12:00:00Z' as a, timestamp'2026-01-01 12:00:00Z' as b")
     row = df.select(to_local(F.col("a")).alias("a"), to_local(F.col("b")).alias("b")).first()
     assert row.a == at("2026-07-01 14:00") and row.b == at("2026-01-01 13:00")
+
+
+def test_years_far_from_now_keep_their_rows(spark):
+    out = localise(spark, [at("1850-06-01 12:00"), at("2150-07-01 12:00")])
+    assert [(t.year, t.to_pydatetime().astimezone(ZoneInfo(BERLIN)).hour) for _, _, t in out] == [(1850, 12), (2150, 12)]
+    with pytest.raises(Exception, match="no clock changes known"):
+        localise(spark, [at("2900-07-01 12:00")])
