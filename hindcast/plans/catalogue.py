@@ -768,9 +768,9 @@ def spans(spark, folder):
 
 @query(
     f"""SELECT series_id, hour, q, round(CASE WHEN q = 0.5 THEN location + greatest(scale, 1e-6) * raw_loc ELSE location + greatest(scale, 1e-6) *
-    (raw_loc + width * sign(q - 0.5) * sqrt(freedom) * tan((lo + hi) / 2)) END, 3) AS value FROM solved""",
+    (raw_loc + width * sign(q - 0.5) * sqrt(freedom * greatest(1 / (power(cos((lo + hi) / 2), 2) + 1e-8) - 1, 0))) END, 3) AS value FROM solved""",
     raw_params="""SELECT event_type AS series_id, hour(ts)::INTEGER AS hour, avg(value) / 10 AS location, stddev_pop(value) / 10 AS scale,
-        (avg(user_id) / 40 * CASE WHEN hour(ts) % 3 = 0 THEN 100 ELSE 1 END) AS raw_freedom, (avg(value) - 50) / 100 AS raw_loc, ln(1 + count(*)) / 10 AS raw_scale FROM events GROUP BY 1, 2""",
+        (avg(user_id) / 40 * CASE WHEN max(hour(ts)) % 3 = 0 THEN 100 ELSE 1 END) AS raw_freedom, (avg(value) - 50) / 100 AS raw_loc, ln(1 + count(*)) / 10 AS raw_scale FROM events GROUP BY 1, 2""",
     t_params=f"""SELECT *, greatest(raw_freedom, 0) + ln(1 + exp(-abs(raw_freedom))) + 2 AS freedom,
         greatest(raw_scale, 0) + ln(1 + exp(-abs(raw_scale))) + 1e-6 AS width FROM raw_params, (SELECT unnest({sq.LEVEL_LIST}) AS q)""",
     # Share of a Student-t between 0 and sqrt(v) * tan(a): integral of cos^(v-1), by Simpson's rule.
