@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,56 +100,47 @@ def spaced_top(scored: DataFrame, count: int, rows: int, *, keys: Sequence[str]
     )
 
 
-def _tops(values: np.ndarray) -> list[int]:
-    """Positions of local maxima; a flat top counts once, at its middle."""
-    found, i, last = [], 1, len(values) - 1
-    while i < last:
-        if values[i - 1] < values[i]:
-            j = i
-            while j < last and values[j + 1] == values[i]:
-                j += 1
-            if j < last and values[j + 1] < values[i]:
-                found.append((i + j) // 2)
-            i = j
-        i += 1
-    return found
-
-
-def peak_positions(values: np.ndarray, distance: int, prominence: float) -> list[tuple[int, float]]:
-    """Peaks of one short curve as (position, prominence)."""
-    kept: list[int] = []
-    for p in sorted(_tops(values), key=lambda p: (-values[p], -p)):
-        if all(abs(p - k) >= distance for k in kept):
-            kept.append(p)
-    out = []
-    for p in sorted(kept):
-        higher = np.flatnonzero(values > values[p])
-        left = higher[higher < p].max(initial=-1) + 1
-        right = higher[higher > p].min(initial=len(values))
-        rise = values[p] - max(values[left:p + 1].min(), values[p:right].min())
-        if rise >= prominence:
-            out.append((p, float(rise)))
-    return out
+def _tops(v: Column) -> Column:
+    """Positions (from 0) of the local maxima of an array; a flat top counts once, at its middle."""
+    n = F.size(v)
+    rising = F.filter(F.sequence(F.lit(1), n - 2), lambda i: F.get(v, i - 1) < F.get(v, i))
+    # Where a rise ends: the next place with another value.
+    ended = F.transform(rising, lambda i: F.struct(
+        i.alias("i"), F.array_min(F.filter(F.sequence(i + 1, n - 1), lambda k: F.get(v, k) != F.get(v, i))).alias("k")))
+    falling = F.filter(ended, lambda x: F.get(v, x.k) < F.get(v, x.i))
+    tops = F.transform(falling, lambda x: F.floor((x.i + x.k - 1) / 2).cast("int"))
+    return F.when(n > 2, tops).otherwise(F.expr("cast(array() as array<int>)"))
+
+
+def _spaced(v: Column, tops: Column, distance: int) -> Column:
+    """The highest tops at least ``distance`` apart; of equal ones the later."""
+    ordered = F.array_sort(F.transform(tops, lambda p: F.struct((-F.get(v, p)).alias("less"), (-p).alias("p"))))
+
+    def add(kept: Column, x: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: F.abs(k + x.p) < distance), kept).otherwise(F.array_append(kept, -x.p))
+
+    return F.array_sort(F.aggregate(ordered, F.expr("cast(array() as array<int>)"), add))
+
+
+def _rise(v: Column, p: Column) -> Column:
+    """Height of a top over the higher of the two lows that part it from anything higher."""
+    here, n = F.get(v, p), F.size(v)
+    left = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(0), p), lambda k: F.get(v, k) > here)), F.lit(-1)) + 1
+    right = F.coalesce(F.array_min(F.filter(F.sequence(p, n - 1), lambda k: F.get(v, k) > here)), n)
+    return here - F.greatest(F.array_min(F.slice(v, left + 1, p - left + 1)), F.array_min(F.slice(v, p + 1, right - p)))
 
 
 def find_peaks(df: DataFrame, value: str, *, keys: Sequence[str] = ("series_id", "reference_time"),
                order: str = "target_time", distance: int = PEAK_DISTANCE,
                prominence: float = PEAK_PROMINENCE) -> DataFrame:
     """Significant maxima of each forecast curve. A curve is one forecast, so its length is the horizon."""
-
-    @F.pandas_udf("array<struct<position:int,prominence:double>>")
-    def peaks(curves: pd.Series) -> pd.Series:
-        return curves.map(
-            lambda curve: [
-                {"position": p, "prominence": r}
-                for p, r in peak_positions(np.asarray(curve, dtype=float), distance, prominence)
-            ]
-        )
-
-    curve = F.array_sort(F.collect_list(F.struct(F.col(order).alias("t"), F.col(value).alias("v"))))
+    curve = F.array_sort(F.collect_list(F.struct(F.col(order).alias("t"), F.col(value).cast("double").alias("v"))))
     curves = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(curve.alias("_curve"))
-    found = curves.withColumn("_peak", F.explode(peaks(F.col("_curve.v"))))
-    at = F.element_at("_curve", F.col("_peak.position") + 1)
+    v = F.col("_v")
+    spaced = curves.withColumn("_v", F.col("_curve.v")).withColumn("_kept", _spaced(v, _tops(v), distance))
+    found = spaced.withColumn("_peak", F.explode(F.transform("_kept", lambda p: F.struct(
+        p.alias("position"), _rise(v, p).alias("prominence"))))).where(F.col("_peak.prominence") >= prominence)
+    at = F.get("_curve", F.col("_peak.position"))
     return found.select(
         *keys, F.col("_peak.position").alias("position"), at.t.alias(order), at.v.alias(value),
         F.col("_peak.prominence").alias("prominence"),

@@ -70,12 +70,18 @@ def brute_peaks(x, distance, prominence):
     return out
 
 
-def test_peaks_match_brute_force():
+def test_peaks_match_brute_force(spark):
     rng = np.random.default_rng(9)
-    for _ in range(300):
-        x = np.round(rng.normal(size=rng.integers(1, 60)), 1)
-        got = [p for p, _ in selection.peak_positions(x, 5, 0.5)]
-        assert got == brute_peaks(list(x), 5, 0.5)
+    curves = [np.round(rng.normal(size=rng.integers(1, 60)), 1) for _ in range(300)]
+    rows = [("a", k, i, float(v)) for k, x in enumerate(curves) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "series_id string, reference_time long, target_time long, value double")
+    found = selection.find_peaks(df, "value", distance=5, prominence=0.5)
+    assert "Python" not in found._jdf.queryExecution().toString()
+    got = {}
+    for row in found.collect():
+        got.setdefault(row.reference_time, []).append(row.position)
+    for k, x in enumerate(curves):
+        assert sorted(got.get(k, [])) == brute_peaks(list(x), 5, 0.5)
 
 
 def test_peaks_per_forecast(spark):
