@@ -74,10 +74,6 @@ def peak_label(value: Column, local_time: Column) -> Column:
     )
 
 
-def quantile_name(channel: Column, q: Column) -> Column:
-    return F.concat(channel, F.lit("_q"), q.cast("string"))
-
-
 # Fixed value: how a quantile column spells its channel and level.
 QUANTILE_NAME = r"^(.+)_q([0-9.]+)$"
 
@@ -94,18 +90,9 @@ def month_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def hours_between(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(3_600_000_000)
-
-
 def relabel(column: Column, mapping: dict[str, str]) -> Column:
     """Replace category values, leaving values outside the mapping as they are."""
     out = column
     for old, new in mapping.items():
         out = F.when(column == old, F.lit(new)).otherwise(out)
     return out
-
-
-def fill_null_rain(df: DataFrame, column: str) -> DataFrame:
-    """No rain report means no rain."""
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(0.0)))

@@ -14,10 +14,6 @@ from hindcast.schemas import LOCAL_ZONE
 STEP = ("series_id", "reference_time", "target_time")
 
 
-def join_pair(left: DataFrame, right: DataFrame, *, on: Sequence[str] = ("ts",), how: str = "inner") -> DataFrame:
-    return left.join(right, list(on), how)
-
-
 def difference(pair: DataFrame, left: str, right: str, out: str = "diff") -> DataFrame:
     return pair.withColumn(out, F.col(left) - F.col(right))
 

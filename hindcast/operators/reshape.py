@@ -113,7 +113,3 @@ def canonical_weather(df: DataFrame, *, snapshot: Sequence[str] = ("series_id",
     picked = {canonical: pick(raw, canonical) for raw, canonical in names}
     keep = [c for c in df.columns if c not in RAW_WEATHER and c not in picked]
     return joined.select(*keep, *[expr.cast("double").alias(c) for c, expr in picked.items()])
-
-
-def median_column(channel: str) -> str:
-    return quantile_column(channel, 0.5)

@@ -942,9 +942,15 @@ def chart_backtest_axes(spark, folder):
 # ---- streams ---------------------------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = fx.table(spark, folder, "events").schema
-    stream = ingest.file_stream(spark, folder, schema, glob="events.parquet")
+def _event_stream(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    """The events as a stream; with ``files``, dealt out anew over so many files that arrive one per batch."""
+    events = fx.table(spark, folder, "events")
+    if files:
+        path = fx.scratch(spark, "events")
+        events.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+        stream = ingest.file_stream(spark, path, events.schema, files_per_batch=1)
+    else:
+        stream = ingest.file_stream(spark, folder, events.schema, glob="events.parquet")
     return stream.select(
         F.col("event_type").alias("series_id"), F.col("ts").cast("timestamp").alias("ts"), "value", "event_id", "user_id"
     )
@@ -963,9 +969,9 @@ def stream_hourly(spark, folder):
 
 @query("""SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2""")
 def stream_upsert(spark, folder):
-    """Readings streamed into the observation store; the latest one of each hour stays."""
+    """Readings streamed into the observation store, out of order over several batches; the latest of each hour stays."""
     path = fx.scratch(spark, "observations")
-    stream = _event_stream(spark, folder).select(
+    stream = _event_stream(spark, folder, files=4).select(
         "series_id", F.date_trunc("hour", "ts").alias("ts"), "value", F.col("event_id").alias("write_seq")
     )
     ingest.ingest_observations(stream, path, OBSERVATION, f"{path}-progress").awaitTermination()
@@ -976,14 +982,14 @@ def stream_upsert(spark, folder):
     QUALIFY row_number() OVER (PARTITION BY series_id, reference_time, target_time
     ORDER BY (CASE kind WHEN 'live' THEN 2 WHEN 'replay' THEN 1 ELSE 0 END) DESC, issued_at DESC NULLS LAST, write_seq DESC) = 1""")
 def stream_forecasts(spark, folder):
-    """Forecast rows streamed into the archive under the precedence rule."""
+    """Forecast rows streamed into the archive, out of order over several batches, under the precedence rule."""
     path = fx.scratch(spark, "stream-forecasts")
     names = [c.strip() for c in WIDE_NAMES.split(",")]
     schema = type(FORECAST_WIDE)([f for f in FORECAST_WIDE.fields if f.name in names])
     schema.add("wassertemp", "double")
     at = F.date_trunc("hour", "ts")
     kind = F.when(fx.kind_of() == "wishful", "oracle").otherwise(fx.kind_of())
-    rows = _event_stream(spark, folder).select(
+    rows = _event_stream(spark, folder, files=4).select(
         "series_id", at.alias("reference_time"), (at + fx.hours(F.col("event_id") % 4 + 1)).alias("target_time"), kind.alias("kind"),
         F.concat(F.lit("src-"), (F.col("user_id") % 3).cast("string")).alias("covariate_source"),
         F.when(~fx.every(19), F.col("ts")).alias("issued_at"), F.lit("m1").alias("model_id"), F.lit("v1").alias("code_version"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,16 +30,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(cores: int = 8, shuffle_partitions: int | None = None, shared: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the bench; ``shared`` names its folder for settled tables."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hindcast")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
     )
-    for key, value in SETTINGS.items():
+    settings = SETTINGS | ({"spark.checkpoint.dir": shared} if shared else {})
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -45,7 +49,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster must name one.
+    A cluster must name one. Only a local session may leave it out; its own folder goes when the process ends.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
@@ -53,7 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="hindcast-"))
+    folder = tempfile.mkdtemp(prefix="hindcast-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

@@ -104,7 +104,7 @@ def touched_months(df: DataFrame, time: Column) -> list[str]:
 
 
 def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
-            merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list[str]:
+            merge: Callable[[DataFrame, DataFrame], DataFrame], empty_error: str | None = None) -> list[str]:
     spark = incoming.sparkSession
     ready_checkpoints(spark)
     # Both checkpoints live in the shared folder: the first so that months and rows come from the same data, the
@@ -112,6 +112,8 @@ def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
     incoming = incoming.checkpoint()
     months = touched_months(incoming, time)
     if not months:
+        if empty_error:
+            raise ValueError(empty_error)
         return []
     layout = T.StructType([f for f in schema.fields if f.name != ORDER.name] + [ORDER])
     merged = merge(read_store(spark, path, layout, months), incoming).checkpoint()
@@ -119,20 +121,18 @@ def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
     return months
 
 
-def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
+def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType, may_be_empty: bool = False) -> list[str]:
     """Store forecasts under the precedence rule; a forecast stays in the month of its reference time."""
-    if incoming.isEmpty():
-        raise ValueError("a forecast batch to be stored has no rows")
     long = "channel" in schema.names
     return _upsert(incoming, path, schema, F.col("reference_time"),
-                   lambda old, new: metadata_first(merge_forecasts(old, new, long=long)))
+                   lambda old, new: metadata_first(merge_forecasts(old, new, long=long)),
+                   None if may_be_empty else "a forecast batch to be stored has no rows")
 
 
 def upsert_snapshots(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
     """Store weather snapshots, one per anchor. Times of fetch are given as ``fetched_at``."""
-    if incoming.isEmpty():
-        raise ValueError("a snapshot batch to be stored has no rows")
-    return _upsert(incoming, path, schema, F.coalesce("reference_time", "fetched_at"), merge_snapshots)
+    return _upsert(incoming, path, schema, F.coalesce("reference_time", "fetched_at"), merge_snapshots,
+                   "a snapshot batch to be stored has no rows")
 
 
 def upsert_observations(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:

@@ -27,8 +27,7 @@ def _upsert_stream(stream: DataFrame, checkpoint: str, write: Callable[[DataFram
     def each(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
         ordered = batch if "write_seq" in batch.columns else batch.withColumn("write_seq", F.lit(batch_id))
-        if not ordered.isEmpty():
-            write(ordered)
+        write(ordered)
 
     return (
         stream.writeStream.foreachBatch(each)
@@ -45,7 +44,7 @@ def ingest_observations(stream: DataFrame, store: str, schema: T.StructType, che
 
 def ingest_forecasts(stream: DataFrame, store: str, schema: T.StructType, checkpoint: str) -> StreamingQuery:
     """Upsert arriving forecasts under the precedence rule."""
-    return _upsert_stream(stream, checkpoint, lambda batch: upsert_forecasts(batch, store, schema))
+    return _upsert_stream(stream, checkpoint, lambda batch: upsert_forecasts(batch, store, schema, may_be_empty=True))
 
 
 def hourly_means(stream: DataFrame, *, value: str = "value", ts: str = "ts", late: str = "2 hours") -> DataFrame:
