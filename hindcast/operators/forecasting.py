@@ -94,6 +94,15 @@ def context_rows(wide: DataFrame, requests: DataFrame, rows: int = CONTEXT_ROWS,
     return _no_gaps(_whole(found.select("request_id", "ts", *CHANNELS), rows, short))
 
 
+def context_status(wide: DataFrame, requests: DataFrame, rows: int = CONTEXT_ROWS) -> DataFrame:
+    """Every request with the context rows it has and whether they suffice; what ``short="skip"`` leaves out shows here."""
+    asked = requests.select("request_id", "series_id", "ref")
+    found = hours_back(asked, rows).join(wide.select("series_id", F.col("date").alias("ts")), ["series_id", "ts"])
+    held = found.groupBy("request_id").agg(F.count(F.lit(1)).alias("have"))
+    have = F.coalesce("have", F.lit(0))
+    return asked.join(held, "request_id", "left").select("request_id", "series_id", have.alias("have"), (have >= rows).alias("complete"))
+
+
 def replay_rows(hits: DataFrame, snapshot_hours: DataFrame, known: DataFrame, rows: int = CONTEXT_ROWS, *,
                 lead: int = COVARIATE_LEAD, short: str = "error") -> DataFrame:
     """Contexts as a run at each reference time would have seen them.

@@ -742,6 +742,15 @@ def context_windows(spark, folder):
     return rounded(forecasting.context_rows(wide, fx.requests(gauge), short="skip"), *CHANNELS)
 
 
+@query("""SELECT r.request_id, r.series_id, least(count(w.date), 384) AS have, count(w.date) >= 384 AS complete
+    FROM requests r LEFT JOIN wide w ON w.series_id = r.series_id AND w.date <= r.ref GROUP BY 1, 2""")
+def context_status(spark, folder):
+    """Every request, with the context it has: the ones that other queries leave out as too short show here."""
+    gauge, weather = held(spark, folder)
+    wide = forecasting.assemble(gauge, weather)
+    return forecasting.context_status(wide, fx.requests(gauge))
+
+
 @query("""SELECT * FROM (SELECT series_id, count(*) AS rows, (min(gap) / 1000000)::BIGINT AS step_seconds, min(gap) = max(gap) AS is_regular FROM (
     SELECT series_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY series_id ORDER BY ts)) AS gap FROM gauge) GROUP BY 1)""")
 def regular_grid_check(spark, folder):
