@@ -2,7 +2,7 @@
 
 Lookups never pair every request with every candidate. Requests and candidates of one ``(series, time block)``
 are laid on one line and a running "last seen" answers all requests in a single ordered pass. Candidates valid
-beyond the end of their block are copied to the next one.
+beyond the end of their block are copied to the next ones.
 """
 
 from __future__ import annotations
@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import kind_rank
-from hindcast.operators.blocks import DAY, running
+from hindcast.operators.blocks import running
 from hindcast.operators.selection import keep_one
 from hindcast.schemas import ARCHIVE_TOLERANCE_HOURS, PROVENANCE, SNAPSHOT_MAX_AGE_HOURS
 
 HOUR = 3_600
+# Requests are the many side and candidates the few, so blocks are short: a quarter of an hour of one series meets in a
+# task, and a candidate is copied to the blocks it is valid in, a number that its bounded validity fixes.
+BLOCK = 900
 LINE = ["series_id", "_block"]
 
 
@@ -55,7 +58,7 @@ def nearest_forecast(requests: DataFrame, archive: DataFrame, *, tolerance_hours
     ``reference_time``, ``kind``, its provenance and ``distance_seconds``; unmatched requests are absent.
     """
     reach = int(tolerance_hours * HOUR * 1_000_000)
-    seconds = max(DAY, int(4 * tolerance_hours * HOUR))
+    seconds = BLOCK
     extra = [c for c in PROVENANCE if c != "kind"]
     rank = kind_rank(F.col("kind"))
     heads = keep_one(
@@ -109,7 +112,7 @@ def current_snapshot(requests: DataFrame, snapshots: DataFrame, *,
     newest fetch. Returns each matched request with ``anchor`` and ``fetched_at``.
     """
     age = int(max_age_hours * HOUR * 1_000_000)
-    seconds = max(DAY, int(2 * max_age_hours * HOUR))
+    seconds = BLOCK
     heads = snapshots.select(
         "series_id", F.coalesce("reference_time", "fetched_at").alias("anchor"), "fetched_at"
     ).distinct()
