@@ -18,9 +18,9 @@ from hindcast.operators.selection import keep_one
 from hindcast.schemas import ARCHIVE_TOLERANCE_HOURS, PROVENANCE, SNAPSHOT_MAX_AGE_HOURS
 
 HOUR = 3_600
-# Requests are the many side and candidates the few, so blocks are short: a quarter of an hour of one series meets in a
-# task, and a candidate is copied to the blocks it is valid in, a number that its bounded validity fixes.
-BLOCK = 900
+# Requests are the many side and candidates the few, so blocks are short: a candidate is copied to the blocks it is valid
+# in, and so many of them make up its bounded validity.
+COPIES = 12
 LINE = ["series_id", "_block"]
 
 
@@ -28,6 +28,11 @@ def _block(micros: Column, seconds: int) -> Column:
     return F.floor(micros / F.lit(seconds * 1_000_000))
 
 
+def _block_seconds(validity: int) -> int:
+    """Block length for candidates valid for so many microseconds."""
+    return max(60, validity // (COPIES * 1_000_000))
+
+
 def _copies(first: Column, last: Column, seconds: int) -> Column:
     """One row for every block that the validity ``first..last`` (micros) touches."""
     return F.explode(F.sequence(_block(first, seconds), _block(last, seconds))).alias("_block")
@@ -58,7 +63,7 @@ def nearest_forecast(requests: DataFrame, archive: DataFrame, *, tolerance_hours
     ``reference_time``, ``kind``, its provenance and ``distance_seconds``; unmatched requests are absent.
     """
     reach = int(tolerance_hours * HOUR * 1_000_000)
-    seconds = BLOCK
+    seconds = _block_seconds(2 * reach)
     extra = [c for c in PROVENANCE if c != "kind"]
     rank = kind_rank(F.col("kind"))
     heads = keep_one(
@@ -112,7 +117,7 @@ def current_snapshot(requests: DataFrame, snapshots: DataFrame, *,
     newest fetch. Returns each matched request with ``anchor`` and ``fetched_at``.
     """
     age = int(max_age_hours * HOUR * 1_000_000)
-    seconds = BLOCK
+    seconds = _block_seconds(age)
     heads = snapshots.select(
         "series_id", F.coalesce("reference_time", "fetched_at").alias("anchor"), "fetched_at"
     ).distinct()
