@@ -152,7 +152,7 @@ def test_a_plugged_forecaster_gets_one_context_per_request(spark, tmp_path):
 
 def test_refusals(spark, tmp_path):
     gauge, weather = inputs(spark)
-    with pytest.raises(ValueError, match="no water temperature"):
+    with pytest.raises(ValueError, match="no series has a reading"):
         run_cycle(str(tmp_path), gauge.withColumn("value", F.lit(None).cast("double")), weather, fetched_at=LAST)
     with pytest.raises(Exception, match="not enough data: 5000 regular rows are required"):
         run_cycle(str(tmp_path), gauge, weather, fetched_at=LAST, rows=5000)
