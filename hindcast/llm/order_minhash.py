@@ -36,7 +36,8 @@ K = 5
 LEAST = 0.8
 SKETCHES = 24
 PICKED = 2
-SMALL = 8  # texts of a bucket, or of a part of a crowded one, that are compared pair by pair
+SMALL = 8  # texts of a bucket that are compared pair by pair
+PART = 64  # the same for a part of a crowded bucket
 BLOCK = 1 << 16  # k-mers hashed at once
 CHUNK_CHARS = 4_000_000
 MADE_UP = 1 << 62  # from here on, names of nodes whose rows have no id; real ids lie below
@@ -226,22 +227,22 @@ def of_like_length(n: Column, m: Column) -> Column:
     return F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def next_pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """The rows of all parts of ``members`` (key, last, node, n, class) with their size and pivot, and candidate pairs
     among them. Texts of one class need no more links and are not paired.
 
-    The parts' sizes and pivots come from one aggregate; only parts of at most ``SMALL`` rows are ever collected.
+    The parts' sizes and pivots come from one aggregate; only parts of at most ``small`` rows are ever collected.
     """
     row = F.struct("node", "n", "class")
     info = members.groupBy("key").agg(F.count("*").alias("size"), F.min(row).alias("pivot")).where("size > 1")
     met = settled(members.join(info, "key"), "bucketed")
-    crowded = met.where((F.col("size") > SMALL) & (F.col("class") != F.col("pivot.class")))
+    crowded = met.where((F.col("size") > small) & (F.col("class") != F.col("pivot.class")))
     stars = crowded.where(of_like_length(F.col("n"), F.col("pivot.n"))).select(
         F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-    listed = met.where(F.col("size") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("of"))
+    listed = met.where(F.col("size") <= small).groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("of"))
     first = listed.select(F.posexplode("of").alias("i", "x"), "of")
     others = F.filter(
-        F.slice("of", F.col("i") + 2, F.lit(SMALL)),
+        F.slice("of", F.col("i") + 2, F.lit(small)),
         lambda y: (y["class"] != F.col("x.class")) & of_like_length(F.col("x.n"), y["n"]))
     each = first.select("x", F.explode(others).alias("y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return met, stars.unionByName(each).distinct()
@@ -268,7 +269,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = nodes.select("node", "n", F.posexplode("sketch").alias("last", "s")).select(
         F.xxhash64("last", "s").alias("key"), "last", "node", "n", F.col("node").alias("class"))
 
-    met, pairs = next_pairs(members)
+    met, pairs = next_pairs(members, SMALL)
     # The ids of texts with any candidate grow with the corpus, so they are merged and never broadcast.
     named = met.select("node").distinct().hint("merge")
     words = settled(
@@ -281,16 +282,20 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     crowded = met.where(F.col("size") > SMALL).withColumn("banded", F.explode(F.array(band, band + 1)))
     rest = settled(
         unlike_pivot(crowded, classes).select(F.xxhash64("key", "banded").alias("key"), "last", "node", "n", "class"), "rest")
-    further = members.select("node", F.col("last").alias("next"), F.col("key").alias("next_key"))
+    # The sketches of the texts that go on, set apart once: later rounds join this small table, not all sketches.
+    still = rest.select("node").distinct()
+    further = settled(
+        members.join(still, "node", "left_semi").select("node", F.col("last").alias("next"), F.col("key").alias("next_key")),
+        "further")
     more = False
     while rest.take(1):
         parted = rest.join(further, "node").where(F.col("last") < F.col("next")).select(
             F.xxhash64("key", "next_key").alias("key"), F.col("next").alias("last"), "node", "n", "class")
-        met, pairs = next_pairs(parted)
+        met, pairs = next_pairs(parted, PART)
         fresh = settled(aligned(pairs, words), "aligned")
         found, more = found.unionByName(fresh), True
         near = fresh.select(F.col("a").alias("near_a"), F.col("b").alias("near_b"))
-        left = met.where((F.col("size") > SMALL) & (F.col("class") != F.col("pivot.class")))
+        left = met.where((F.col("size") > PART) & (F.col("class") != F.col("pivot.class")))
         rest = settled(
             left.join(near, (F.col("near_a") == F.col("pivot.node")) & (F.col("near_b") == F.col("node")), "left_anti")
             .select("key", "last", "node", "n", "class"), "rest")
