@@ -8,10 +8,9 @@ candidate pair is a link if its edit similarity ``1 - edits / longer length``, o
 are counted exactly by an alignment inside the band of diagonals that this similarity leaves.
 
 Classes are the connected components of the links; equal word sequences are one node from the start, so copies cost
-nothing. No bucket is expanded into all pairs: a bucket of at most ``SMALL`` texts is, in a larger one every text is
-aligned with one pivot, and the texts that do not end in the class of their pivot go on, parted by length (into
-overlapping bands no link can miss) and by a second sketch they agree in; what is still crowded is parted by a third, and
-so on. So a pair unlike the pivots of its crowded parts must agree in a few of the ``SKETCHES`` instead of one.
+nothing. A bucket of at most ``SMALL`` texts is listed pair by pair. In a larger one every text is first aligned with one
+pivot; where several classes are left, blocks of bounded size meet two by two in one task each, which aligns the pairs of
+different classes that share enough words for a link. So a pair that agrees in one sketch is told, however many others do.
 
 Defined results: null text counts as empty, and all texts without words are one class; a null id never names a class
 unless all of its class are null; the texts under a repeated id share a class; ties go to the least id; an empty table
@@ -37,7 +36,7 @@ LEAST = 0.8
 SKETCHES = 24
 PICKED = 2
 SMALL = 8  # texts of a bucket that are compared pair by pair
-PART = 64  # the same for a part of a crowded bucket
+BLOCK_ROWS, BLOCK_WORDS = 1000, 2_000_000  # of a crowded bucket that meet another such block in one task
 BLOCK = 1 << 16  # k-mers hashed at once
 CHUNK_CHARS = 4_000_000
 MADE_UP = 1 << 62  # from here on, names of nodes whose rows have no id; real ids lie below
@@ -227,23 +226,23 @@ def of_like_length(n: Column, m: Column) -> Column:
     return F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def next_pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of all parts of ``members`` (key, last, node, n, class) with their size and pivot, and candidate pairs
-    among them. Texts of one class need no more links and are not paired.
+def next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all buckets of ``members`` (key, node, n) with their size and pivot, and candidate pairs among them: all
+    of a small bucket, those with the pivot in a crowded one.
 
-    The parts' sizes and pivots come from one aggregate; only parts of at most ``small`` rows are ever collected.
+    The buckets' sizes and pivots come from one aggregate; only buckets of at most ``SMALL`` rows are ever collected.
     """
-    row = F.struct("node", "n", "class")
+    row = F.struct("node", "n")
     info = members.groupBy("key").agg(F.count("*").alias("size"), F.min(row).alias("pivot")).where("size > 1")
     met = settled(members.join(info, "key"), "bucketed")
-    crowded = met.where((F.col("size") > small) & (F.col("class") != F.col("pivot.class")))
+    crowded = met.where((F.col("size") > SMALL) & (F.col("node") != F.col("pivot.node")))
     stars = crowded.where(of_like_length(F.col("n"), F.col("pivot.n"))).select(
         F.col("pivot.node").alias("a"), F.col("node").alias("b"))
-    listed = met.where(F.col("size") <= small).groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("of"))
+    listed = met.where(F.col("size") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(row)).alias("of"))
     first = listed.select(F.posexplode("of").alias("i", "x"), "of")
     others = F.filter(
-        F.slice("of", F.col("i") + 2, F.lit(small)),
-        lambda y: (y["class"] != F.col("x.class")) & of_like_length(F.col("x.n"), y["n"]))
+        F.slice("of", F.col("i") + 2, F.lit(SMALL)),
+        lambda y: (y["node"] != F.col("x.node")) & of_like_length(F.col("x.n"), y["n"]))
     each = first.select("x", F.explode(others).alias("y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return met, stars.unionByName(each).distinct()
 
@@ -266,10 +265,10 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             F.coalesce(F.min("doc_id"), made_up).alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "nodes")
     membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
-    members = nodes.select("node", "n", F.posexplode("sketch").alias("last", "s")).select(
-        F.xxhash64("last", "s").alias("key"), "last", "node", "n", F.col("node").alias("class"))
+    members = nodes.select("node", "n", F.posexplode("sketch").alias("at", "s")).select(
+        F.xxhash64("at", "s").alias("key"), "node", "n")
 
-    met, pairs = next_pairs(members, SMALL)
+    met, pairs = next_pairs(members)
     # The ids of texts with any candidate grow with the corpus, so they are merged and never broadcast.
     named = met.select("node").distinct().hint("merge")
     words = settled(
@@ -277,36 +276,80 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .mapInPandas(short_words, "node long, words array<int>"), "words")
     found = settled(aligned(pairs, words), "aligned")
     classes = components(found)
-    # Texts outside the class of a crowded bucket's pivot meet again where they agree in one more sketch.
+    rest = settled(crowded_links(met.where(F.col("size") > SMALL), classes, words), "rest")
+    if not rest.take(1):
+        return membership, classes, found
+    found = found.unionByName(rest)
+    return membership, components(found), found
+
+
+def crowded_links(crowded: DataFrame, classes: DataFrame, words: DataFrame) -> DataFrame:
+    """a, b, similarity: links that join the classes of every crowded bucket, whatever else its texts agree in.
+
+    A bucket is parted by length into overlapping bands no link can miss; parts with one class only or with the texts of
+    another part are done. The others are cut into blocks of bounded rows and words by a hash of the node, and every two
+    blocks of a part meet in one task. All texts of a part take part, also those already linked to its pivot.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / LEAST)))
-    crowded = met.where(F.col("size") > SMALL).withColumn("banded", F.explode(F.array(band, band + 1)))
-    rest = settled(
-        unlike_pivot(crowded, classes).select(F.xxhash64("key", "banded").alias("key"), "last", "node", "n", "class"), "rest")
-    # The sketches of the texts that go on, set apart once: later rounds join this small table, not all sketches.
-    still = rest.select("node").distinct()
-    further = settled(
-        members.join(still, "node", "left_semi").select("node", F.col("last").alias("next"), F.col("key").alias("next_key")),
-        "further")
-    more = False
-    while rest.take(1):
-        parted = rest.join(further, "node").where(F.col("last") < F.col("next")).select(
-            F.xxhash64("key", "next_key").alias("key"), F.col("next").alias("last"), "node", "n", "class")
-        met, pairs = next_pairs(parted, PART)
-        fresh = settled(aligned(pairs, words), "aligned")
-        found, more = found.unionByName(fresh), True
-        near = fresh.select(F.col("a").alias("near_a"), F.col("b").alias("near_b"))
-        left = met.where((F.col("size") > PART) & (F.col("class") != F.col("pivot.class")))
-        rest = settled(
-            left.join(near, (F.col("near_a") == F.col("pivot.node")) & (F.col("near_b") == F.col("node")), "left_anti")
-            .select("key", "last", "node", "n", "class"), "rest")
-    return membership, components(found) if more else classes, found
-
-
-def unlike_pivot(crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of crowded parts whose class is not that of their pivot."""
-    pivots = classes.select(F.col("node").alias("pivot_node"), F.col("class").alias("pivot_class"))
-    told = with_class(crowded, classes).join(pivots, F.col("pivot.node") == F.col("pivot_node"), "left")
-    return told.where(F.col("class") != F.coalesce("pivot_class", "pivot.node"))
+    rows = settled(
+        with_class(crowded.select("key", "node", "n"), classes).withColumn("band", band)
+        .withColumn("banded", F.explode(F.array("band", F.col("band") + 1)))
+        .select(F.xxhash64("key", "banded").alias("part"), "banded", "band", "node", "n", "class"), "crowded")
+    parts = (
+        rows.groupBy("part", "banded").agg(
+            F.count("*").alias("size"), F.sum("n").alias("words"), F.max("band").alias("top"),
+            F.min("class").alias("low"), F.max("class").alias("high"),
+            F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"))
+        .where((F.col("low") != F.col("high")) & (F.col("top") == F.col("banded"))))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, F.col("words") / BLOCK_WORDS)).cast("int")
+    whole = parts.groupBy("banded", "size", "one", "two").agg(F.min("part").alias("part"), F.first("words").alias("words"))
+    cut = whole.select("part", blocks.alias("blocks"))
+    mine = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
+    dealt = (
+        rows.join(cut, "part").withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("part", F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"), "mine", "banded",
+                "band", "node", "class"))
+    return dealt.join(words, "node").groupBy("part", "first", "second").applyInPandas(
+        block_links, "a long, b long, similarity double")
+
+
+def block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between the two blocks of ``rows`` (or within the one), until no pair of different classes is untold.
+
+    A pair is aligned if it shares as many words, counted as bags, as any link must; the counts come from lists of the
+    rows that hold each word.
+    """
+    rows = rows.sort_values("node", kind="stable")
+    texts = [np.asarray(w, np.int32).view(np.uint32) for w in rows["words"]]
+    nodes, mine, band = (rows[c].to_numpy() for c in ("node", "mine", "band"))
+    two_blocks, banded = rows["first"].iloc[0] != rows["second"].iloc[0], rows["banded"].iloc[0]
+    lengths = np.array([len(t) for t in texts])
+    _, ids = np.unique(np.concatenate([labelled(t.astype(np.uint64)) for t in texts]), return_inverse=True)
+    of = np.split(ids, np.cumsum(lengths)[:-1])
+    held = np.repeat(np.arange(len(texts)), lengths)[np.argsort(ids, kind="stable")]
+    ends = np.cumsum(np.bincount(ids))
+    starts = np.r_[0, ends[:-1]]
+    group = pd.factorize(rows["class"])[0]
+    out = []
+    for i, text in enumerate(texts):
+        at = of[i]
+        at = at[ends[at] - starts[at] > 1]
+        sizes = ends[at] - starts[at]
+        places = np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        shared = np.bincount(held[places], minlength=len(texts))
+        longer = np.maximum(lengths, lengths[i])
+        fit = (shared >= longer - ((1 - LEAST) * longer + 1e-9).astype(np.int64)) & (group != group[i])
+        fit &= (band == banded) | (band[i] == banded)
+        if two_blocks:
+            fit &= mine != mine[i]
+        for j in np.flatnonzero(fit[i + 1:]) + i + 1:
+            if group[i] != group[j]:
+                value = similar(text, texts[j])
+                if value is not None:
+                    out.append((nodes[i], nodes[j], value))
+                    group[group == group[j]] = group[i]
+    return pd.DataFrame(out, columns=["a", "b", "similarity"])
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

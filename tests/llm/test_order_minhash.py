@@ -118,3 +118,21 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["class"] for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[100 + i] for i in range(50)} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def replaced(rng, words, at):
+    """The words with those places taken by words of their own."""
+    return [f"own{rng.randrange(10**12)}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_variants_of_a_base_stay_with_it(spark):
+    # Every variant is a link of the base, few variants are links of each other, and pivots are variants.
+    rng = random.Random(12)
+    base = prose(rng, 100).split()
+    runs = [{x + k for x in rng.sample(range(0, 100, 6), 2) for k in range(6)} for _ in range(60)]
+    texts = [" ".join(replaced(rng, base, run)) for run in runs] + [" ".join(base)]
+    texts += [" ".join(replaced(rng, base, set(range(50, 100)))) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    found = {r["doc_id"]: r["class_id"] for r in near_classes(docs).collect()}
+    assert {found[i] for i in range(61)} == {0}
+    assert all(found[i] == i for i in range(61, 81))
