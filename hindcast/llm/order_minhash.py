@@ -3,8 +3,9 @@ banded alignment.
 
 A text is its lower-case words of letters and digits (its plain words where it has none of those). Its k-mers of ``K``
 words are labelled with their occurrence number, so that repeats count. Each of ``SKETCHES`` hash functions picks the
-``PICKED`` least k-mers and keeps them in text order; two texts that agree in one such sketch are candidates. A
-candidate pair is a link if its edit similarity ``1 - edits / longer length``, over words, is ``LEAST`` or more. Edits
+``PICKED`` least k-mers and keeps them in text order; two texts that agree in one such sketch are candidates. Texts
+up to ``MIDDLE`` words have sketches of k-mers of ``MIDDLE_K`` words; of texts up to ``SHORT`` words every link is found,
+for they are candidates if they are equal after as many words of each are left out as a link may edit. A candidate pair is a link if its edit similarity ``1 - edits / longer length``, over words, is ``LEAST`` or more. Edits
 are counted exactly by an alignment inside the band of diagonals that this similarity leaves.
 
 Classes are the connected components of the links; equal word sequences are one node from the start, so copies cost
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,10 +33,14 @@ from hindcast.llm.common import settled, small_batches, text_of
 from hindcast.llm.components import components
 from hindcast.llm.kneser_ney import tokens
 
-K = 5
+K = 3
 LEAST = 0.8
-SKETCHES = 24
+SKETCHES = 40
 PICKED = 2
+# Texts up to MIDDLE words have sketches of shorter k-mers, as one edit spoils K of few; a longer partner of a text under
+# LEAST * MIDDLE words is none. Texts up to SHORT words meet by what is left of them without some words.
+MIDDLE, MIDDLE_K, MIDDLE_SKETCHES = 64, 2, 24
+SHORT = 14
 SMALL = 8  # texts of a bucket that are compared pair by pair
 BLOCK_ROWS, BLOCK_WORDS = 1000, 2_000_000  # of a crowded bucket that meet another such block in one task
 BLOCK = 1 << 16  # k-mers hashed at once
@@ -44,6 +50,7 @@ MADE_UP = 1 << 62  # from here on, names of nodes whose rows have no id; real id
 # Odd multipliers of the usual 64-bit finalisers.
 MIX_A, MIX_B, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCHES, dtype=np.uint64)
+MIDDLE_MARK, SHORT_MARK = np.uint64(1 << 20), np.uint64(1 << 21)  # keep keys of the three kinds apart
 SHIFT = np.uint64(31)
 
 
@@ -57,11 +64,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> SHIFT)
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
-    """A hash per run of K words; a shorter text is one k-mer."""
-    n = max(1, len(words) - K + 1)
+def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
+    """A hash per run of k words; a shorter text is one k-mer."""
+    n = max(1, len(words) - k + 1)
     out = np.zeros(n, np.uint64)
-    for i in range(min(K, len(words))):
+    for i in range(min(k, len(words))):
         out = out * STEP + words[i:i + n]
     return mixed(out)
 
@@ -77,14 +84,14 @@ def labelled(grams: np.ndarray) -> np.ndarray:
     return grams + number * STEP
 
 
-def sketch(words: np.ndarray) -> np.ndarray:
+def sketch(words: np.ndarray, k: int = K, sketches: int = SKETCHES) -> np.ndarray:
     """One hash per sketch over its two least labelled k-mers, in text order."""
-    grams = kmers(words)
+    grams = kmers(words, k)
     marked = labelled(grams)
-    rows = np.arange(SKETCHES)
+    rows = np.arange(sketches)
     picked = []
     for start in range(0, len(grams), BLOCK):
-        values = (marked[None, start:start + BLOCK] ^ SEEDS[:, None]) * MIX_A
+        values = (marked[None, start:start + BLOCK] ^ SEEDS[:sketches, None]) * MIX_A
         values ^= values >> SHIFT
         values *= MIX_B
         for _ in range(min(PICKED, values.shape[1])):
@@ -95,12 +102,43 @@ def sketch(words: np.ndarray) -> np.ndarray:
     places = np.stack([p for _, p in picked], 1)
     order = np.argsort(values, axis=1, kind="stable")[:, :PICKED]
     chosen = np.sort(np.take_along_axis(places, order, 1), axis=1)
-    out = np.zeros(SKETCHES, np.uint64)
+    out = np.zeros(sketches, np.uint64)
     for i in range(chosen.shape[1]):
         out = mixed(out * STEP + marked[chosen[:, i]] + np.uint64(i))
     return out.astype(np.int64)
 
 
+def thinned(words: np.ndarray) -> np.ndarray:
+    """A hash of every text that is left when at most as many words go as a link of this length may edit.
+
+    Two short texts that are a link share one: drop the words of each that their alignment does not keep. Where the
+    longer text may have more edits than the shorter, at least one is an insertion and costs the shorter no word.
+    """
+    n = len(words)
+    out = []
+    for most in range(int((1 - LEAST) * n + 1e-9) + 1):
+        left = words[np.array(list(combinations(range(n), n - most)))]
+        hashes = np.full(len(left), n - most, np.uint64)
+        for column in left.T:
+            hashes = mixed(hashes * STEP + column)
+        out.append(hashes)
+    return np.concatenate(out)
+
+
+def keys_of(words: np.ndarray) -> np.ndarray:
+    """The keys under which a text meets candidates, each once; none for a text without words."""
+    n = len(words)
+    numbered = np.arange(SKETCHES, dtype=np.uint64)
+    keys = [np.zeros(0, np.uint64)]
+    if 0 < n <= SHORT:
+        keys.append(thinned(words) + SHORT_MARK)
+    if LEAST * SHORT < n <= MIDDLE:
+        keys.append(sketch(words, MIDDLE_K, MIDDLE_SKETCHES).view(np.uint64) + numbered[:MIDDLE_SKETCHES] + MIDDLE_MARK)
+    if n > LEAST * MIDDLE:
+        keys.append(sketch(words).view(np.uint64) + numbered)
+    return np.unique(mixed(np.concatenate(keys))).view(np.int64)
+
+
 def hashed_words(texts: list[str]) -> Iterator[np.ndarray]:
     """64-bit word hashes of each text, computed once per distinct word of the lot."""
     split = [words_of(t) for t in texts]
@@ -118,7 +156,7 @@ def parts_of(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """doc_id, digest of the words, their number, and the sketches (none for texts without words)."""
+    """doc_id, digest of the words, their number, and their keys."""
     for batch in batches:
         for part in parts_of(batch):
             rows = list(hashed_words(part["text"].tolist()))
@@ -126,7 +164,7 @@ def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "doc_id": part["doc_id"].array,
                 "digest": [hashlib.blake2b(w.tobytes(), digest_size=16).hexdigest() for w in rows],
                 "n": [len(w) for w in rows],
-                "sketch": [sketch(w) if len(w) else np.zeros(0, np.int64) for w in rows],
+                "keys": [keys_of(w) for w in rows],
             })
 
 
@@ -258,15 +296,14 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = settled(
-        texts.mapInPandas(sketched, "doc_id long, digest string, n long, sketch array<long>"), "sketches")
+        texts.mapInPandas(sketched, "doc_id long, digest string, n long, keys array<long>"), "sketches")
     made_up = F.shiftrightunsigned(F.xxhash64("digest"), 2) + MADE_UP
     nodes = settled(
         rows.groupBy("digest").agg(
-            F.coalesce(F.min("doc_id"), made_up).alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
+            F.coalesce(F.min("doc_id"), made_up).alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")),
         "nodes")
     membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
-    members = nodes.select("node", "n", F.posexplode("sketch").alias("at", "s")).select(
-        F.xxhash64("at", "s").alias("key"), "node", "n")
+    members = nodes.select("node", "n", F.explode("keys").alias("key")).select("key", "node", "n")
 
     met, pairs = next_pairs(members)
     # The ids of texts with any candidate grow with the corpus, so they are merged and never broadcast.

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from hindcast.llm.components import components
-from hindcast.llm.order_minhash import LEAST, edits_within, near_classes, near_links, one_per_class, sketch, words_of
+from hindcast.llm.order_minhash import LEAST, edits_within, keys_of, near_classes, near_links, one_per_class, sketch, words_of
 
 from conftest import DOCS, prose
 
@@ -136,3 +136,28 @@ def test_variants_of_a_base_stay_with_it(spark):
     found = {r["doc_id"]: r["class_id"] for r in near_classes(docs).collect()}
     assert {found[i] for i in range(61)} == {0}
     assert all(found[i] == i for i in range(61, 81))
+
+
+@pytest.mark.parametrize("n", [5, 6, 8, 9, 10, 13, 14])
+def test_short_links_are_always_candidates(n):
+    rng = random.Random(n)
+    for _ in range(300):
+        a = [rng.randrange(30) for _ in range(n)]
+        b = edited(rng, a, rng.randrange(1, 3))
+        b = [x if isinstance(x, int) else 1000 + rng.randrange(30) for x in b]
+        longer = max(len(a), len(b))
+        if longer <= 14 and 1 - table_distance(a, b) / longer >= LEAST:
+            assert np.intersect1d(keys_of(np.array(a, np.uint64)), keys_of(np.array(b, np.uint64))).size
+
+
+@pytest.mark.parametrize("n", [15, 20, 40, 64, 65, 100, 400])
+def test_links_at_the_threshold_are_candidates(n):
+    rng = random.Random(n)
+    found = 0
+    for _ in range(200):
+        a = np.array([rng.getrandbits(62) for _ in range(n)], np.uint64)
+        b = a.copy()
+        b[rng.sample(range(n), n // 5)] += np.uint64(1)
+        found += bool(np.intersect1d(keys_of(a), keys_of(b)).size)
+    print(n, found)
+    assert found >= 190
