@@ -43,6 +43,7 @@ LAYOUT = "page_id long, url string, text string, n_chars long"
 
 # Element names of HTML.
 UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas select option datalist audio video map".split())
+HEAD_PARTS = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -98,7 +99,8 @@ class Tree(HTMLParser):
         self.nodes = [Node("body", "", -1, 0)]
         self.open = [("body", 0)]
         self.run: list[str] = []
-        self.unseen = 0
+        self.unseen: list[str] = []  # an open invisible element and what is open inside it
+        self.inline: list[tuple[str, int]] = []  # open inline elements, with the number of open blocks around them
         self.links = 0
         self.run_linked = self.run_elements = 0
         self.feed(html)
@@ -120,15 +122,19 @@ class Tree(HTMLParser):
         self.run_linked = self.run_elements = 0
 
     def handle_starttag(self, tag, attrs) -> None:
-        if tag in UNSEEN:
-            self.unseen += 1
+        if self.unseen and self.shown_by(tag):
             return
-        if self.unseen or tag in ("html", "body"):
+        if tag in UNSEEN or self.unseen:
+            if tag not in VOID:
+                self.unseen.append(tag)
+            return
+        if tag in ("html", "body"):
             return
         if tag == "br":
             self.run.append("\n")
         elif tag in INLINE:
             self.run_elements += 1
+            self.inline.append((tag, len(self.open)))
             self.links += tag == "a"
         elif tag == "hr":
             self.flush()
@@ -147,32 +153,52 @@ class Tree(HTMLParser):
             self.nodes.append(Node(tag, told.lower(), at, self.nodes[at].depth + 1, elements=1))
             self.links = 0
 
+    def shown_by(self, tag: str) -> bool:
+        """Close the invisible elements that end where ``tag`` starts; True if the tag does nothing else."""
+        if tag == "body" or (tag not in HEAD_PARTS and self.unseen[0] == "head" and {"head", "noscript"}.issuperset(self.unseen)):
+            self.unseen.clear()
+        elif tag in ("option", "optgroup") and "option" in self.unseen:
+            del self.unseen[self.unseen.index("option"):]
+        elif tag in ("input", "textarea", "select") and "select" in self.unseen:
+            del self.unseen[self.unseen.index("select"):]
+            return tag == "select"
+        return False
+
     def end(self, tag: str, until: frozenset = frozenset()) -> None:
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
                 self.flush()
                 del self.open[i:]
+                self.inline = [x for x in self.inline if x[1] <= i]
                 self.links = 0
                 return
             if self.open[i][0] in until:
                 return
 
     def handle_startendtag(self, tag, attrs) -> None:
-        if tag in VOID or tag not in UNSEEN:
+        if tag in VOID or tag not in UNSEEN and not {"svg", "math"}.intersection(self.unseen):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag) -> None:
-        if tag in UNSEEN:
-            self.unseen = max(0, self.unseen - 1)
-        elif self.unseen or tag in ("html", "body"):
+        if tag in self.unseen:
+            del self.unseen[len(self.unseen) - 1 - self.unseen[::-1].index(tag):]
+            return
+        # The end of a parent ends what is open inside it.
+        if tag in ("html", "body") or (tag, len(self.open)) in self.inline or any(tag == x for x, _ in self.open[1:]):
+            self.unseen.clear()
+        if self.unseen or tag in UNSEEN or tag in ("html", "body"):
             pass
         elif tag in INLINE:
+            if (tag, len(self.open)) in self.inline:
+                self.inline.remove((tag, len(self.open)))
             if tag == "a":
                 self.links = max(0, self.links - 1)
         else:
             self.end(tag)
 
     def handle_data(self, data) -> None:
+        if self.unseen == ["head"] and data.strip():
+            self.unseen.clear()
         if not self.unseen:
             self.run.append(data)
             if self.links:

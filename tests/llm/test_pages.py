@@ -112,3 +112,16 @@ def test_no_contradictions():
     odds = tree.features()[:, 0] * 0 + 5
     odds[1] = -1
     assert tree.decoded(odds) == ["c"]
+
+
+@pytest.mark.parametrize("markup", [
+    "<body><form><select><option>gone<option>gone</select></form>{}", "<body><form><select><option>gone</form>{}",
+    "<body><select><optgroup><option>gone<optgroup><option>gone</select>{}", "<body><p><span><select><option>gone</span>{}",
+    "<head><title>gone</title><body>{}", "<head><title>gone</title>{}", "<head><noscript><link>{}", "<head><meta>bare {}",
+    "<body><div><noscript>gone</div>{}", "<body><div><object><p>gone</p></div>{}", "<body><div><canvas>gone</div>{}",
+    "<body><div><template><div>gone</div></div>{}", "<body><svg><g><text/><path></g></svg>{}", "<body><select><option>gone<input>{}",
+    "<body><object><div>gone</div></object>{}", "<body><video><source>gone</video>{}</body>",
+])
+def test_text_after_open_invisible_elements_is_kept(markup):
+    said = " ".join(n.text for n in Tree("<html>" + markup.format("<p>the article</p><p>its end</p>")).nodes if n.text)
+    assert said.endswith("the article its end") and "gone" not in said
