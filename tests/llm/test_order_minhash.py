@@ -161,3 +161,18 @@ def test_links_at_the_threshold_are_candidates(n):
         found += bool(np.intersect1d(keys_of(a), keys_of(b)).size)
     print(n, found)
     assert found >= 190
+
+
+def test_links_do_not_depend_on_the_crowd(spark, monkeypatch):
+    # All texts share a passage; the links among them differ in scattered words of the rest. Blocks are small here.
+    monkeypatch.setattr("hindcast.llm.order_minhash.BLOCK_ROWS", 40, raising=False)
+    rng = random.Random(15)
+    passage = prose(rng, 40).split()
+    texts = []
+    for _ in range(30):
+        base = [f"own{rng.randrange(10**12)}" for _ in range(40)]
+        texts += [" ".join(passage + base), " ".join(passage + replaced(rng, base, set(rng.sample(range(40), 13))))]
+    texts += [" ".join(passage + [f"own{rng.randrange(10**12)}" for _ in range(40)]) for _ in range(240)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    found = {r["doc_id"]: r["class_id"] for r in near_classes(docs).collect()}
+    assert found == {i: i - i % 2 if i < 60 else i for i in range(300)}
