@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -15,11 +14,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def utc(text: str) -> datetime:
-    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
-
-
-def hours(start: datetime, count: int) -> list[datetime]:
-    return [start + timedelta(hours=i) for i in range(count)]

@@ -3,7 +3,7 @@
 import random
 from datetime import timedelta
 
-from conftest import utc
+from helpers import utc
 from hindcast.operators.asof import current_snapshot, nearest_forecast, splice
 from hindcast.schemas import FORECAST_WIDE
 

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import hours, utc
+from helpers import hours, utc
 from hindcast.operators import backtests as bt
 from hindcast.operators import forecasting, quality, views
 from hindcast.plans.cycle import FORECASTS, OBSERVATIONS, WEATHER, run_cycle, stored_snapshots

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import utc
+from helpers import utc
 from hindcast.functions import scalars
 from hindcast.functions.student_t import expand_quantiles, t_quantile
 from hindcast.operators import metrics, quality, reshape, selection
