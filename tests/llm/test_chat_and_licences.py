@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from hindcast.llm.chat_prefix import digests, prefix_examples, turns_in
 from hindcast.llm.licences import LEAST, TEMPLATES, bigram_set, scan_licences
 
-from conftest import DOCS
+from llm_helpers import DOCS
 
 TURNS = "conv_id long, turn long, role string, text string, heads int"
 

@@ -8,7 +8,7 @@ import pytest
 from hindcast.llm.kneser_ney import BEGIN, END, ORDER, Ratios, measures, ratios, score_toxicity
 from hindcast.llm.quality_kernel import STATISTICS, features, fit, kept_by_quality, normal_equations, score_quality, statistics_of
 
-from conftest import DOCS, SF, prose
+from llm_helpers import DOCS, SF, prose
 
 LABELS = "doc_id long, quality int, toxic int"
 

@@ -6,7 +6,7 @@ import pytest
 
 from hindcast.llm.cube_mixing import MOST, WEIGHTS, flight, landing, mix, null_vector
 
-from conftest import DOCS
+from llm_helpers import DOCS
 
 
 def water_levels(sizes):

@@ -4,7 +4,7 @@ from collections import defaultdict
 from hindcast.llm import decontaminate
 from hindcast.llm.decontaminate import Index, covered, find_leaks, question_and_answer, without_leaks
 
-from conftest import DOCS, prose
+from llm_helpers import DOCS, prose
 
 ITEMS = "item_id long, text string, doc_id int"
 

@@ -10,7 +10,7 @@ from hindcast.llm.fertility import (
     BANDS, BYTES_FILE, LAYOUT, PIECES_FILE, SCRIPT_BANDS, VOCABULARIES, Vocabularies, judge_fertility, kept_by_fertility, script_of,
 )
 
-from conftest import DOCS, prose
+from llm_helpers import DOCS, prose
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -7,7 +7,7 @@ import pytest
 from hindcast.llm.components import components
 from hindcast.llm.order_minhash import LEAST, edits_within, keys_of, near_classes, near_links, one_per_class, sketch, words_of
 
-from conftest import DOCS, prose
+from llm_helpers import DOCS, prose
 
 
 def table_distance(a, b):

@@ -9,7 +9,7 @@ import pytest
 from hindcast.llm.arc_warc import archived, arc_records, convert, read_warc
 from hindcast.llm.html_trees import MARK, Composer, Tree, extract, texts_of, trained
 
-from conftest import SF, prose
+from llm_helpers import SF, prose
 
 PAGES = "page_id long, url string, html string, kind string, digest int"
 

@@ -6,7 +6,7 @@ from hindcast.llm.common import settled
 from hindcast.llm.order_minhash import near_classes
 from hindcast.llm.queries import QUERIES, SQL
 
-from conftest import DOCS, SF, prose
+from llm_helpers import DOCS, SF, prose
 
 
 def test_every_operator_is_registered():
