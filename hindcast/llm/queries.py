@@ -18,6 +18,7 @@ from hindcast.llm.kneser_ney import score_toxicity
 from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
 from hindcast.llm.order_minhash import near_classes
 from hindcast.llm.quality_kernel import score_quality
+from hindcast.llm.token_counts import count_tokens
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,6 +66,10 @@ def op10_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return digests(settled(prefix_examples(rows), "prefix-examples"))
 
 
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"))
+
+
 def _licence_sql() -> str:
     rows = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
     grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
@@ -132,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_prefix_targets": op10_prefix_targets,
+    "op12_token_counts": op12_token_counts,
 }
 SQL: dict[str, str] = {
     "op6_arc_warc": """
