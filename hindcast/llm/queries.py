@@ -16,6 +16,7 @@ from hindcast.llm.fertility import judge_fertility
 from hindcast.llm.html_trees import extract
 from hindcast.llm.kneser_ney import score_toxicity
 from hindcast.llm.licences import LEAST, MARKS, TEMPLATES, scan_licences
+from hindcast.llm.merkle_log import verify
 from hindcast.llm.order_minhash import near_classes
 from hindcast.llm.quality_kernel import score_quality
 from hindcast.llm.token_counts import count_tokens
@@ -70,6 +71,10 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"))
 
 
+def op13_merkle_log(spark: SparkSession, folder: str) -> DataFrame:
+    return verify(table(spark, folder, "documents"))
+
+
 def _licence_sql() -> str:
     rows = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
     grams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
@@ -126,6 +131,52 @@ FROM summed GROUP BY conv_id
 """
 
 
+def _merkle_sql(levels: int = 8) -> str:
+    """Levels one by one, enough of them for 16 ** levels rows of a source and as many sources."""
+    def field(name: str) -> str:
+        text = f"({name})::VARCHAR"
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    digits = "string_split(doc_id::VARCHAR, '')"
+    bits = f"flatten(list_transform({digits}, lambda d: [ord(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda c, b: {step}), 4294967295::BIGINT)"
+    parts = [
+        f"""leaves AS (SELECT coalesce('=' || source, '') AS tree, doc_id, {leaf('text')} AS leaf,
+            CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} END AS altered FROM documents)""",
+        """a0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves)""",
+        "l0 AS (SELECT tree, idx, leaf AS d FROM a0)",
+        "w0 AS (SELECT tree, idx, idx AS up, leaf, coalesce(altered, leaf) AS folded, '' AS proof, doc_id FROM a0)",
+    ]
+
+    def climb(nodes: str, walk: str, keep: str) -> None:
+        for k in range(levels):
+            parts.append(f"""{nodes}n{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n,
+                coalesce(string_agg(d, '') OVER (PARTITION BY tree, idx // 16 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS pre,
+                coalesce(string_agg(d, '') OVER (PARTITION BY tree, idx // 16 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS post
+                FROM {nodes}{k})""")
+            parts.append(f"""{nodes}{k + 1} AS (SELECT tree, idx // 16 AS idx, CASE WHEN n > 1 THEN sha256(string_agg(d, '' ORDER BY idx)) ELSE min(d) END AS d
+                FROM {nodes}n{k} GROUP BY tree, idx // 16, n)""")
+            parts.append(f"""{walk}{k + 1} AS (SELECT w.tree, w.idx, CASE WHEN s.n > 1 THEN w.up // 16 ELSE w.up END AS up, {keep},
+                CASE WHEN s.n > 1 THEN sha256(s.pre || w.folded || s.post) ELSE w.folded END AS folded, w.proof || s.pre || s.post AS proof
+                FROM {walk}{k} w JOIN {nodes}n{k} s ON s.tree = w.tree AND s.idx = w.up)""")
+
+    climb("l", "w", "w.leaf, w.doc_id")
+    parts.append(f"subs AS (SELECT '*' AS tree, tree AS source_tree, row_number() OVER (ORDER BY tree) - 1 AS idx, d FROM l{levels})")
+    parts.append("t0 AS (SELECT tree, idx, d FROM subs)")
+    parts.append(f"""v0 AS (SELECT b.tree, b.idx, b.idx AS up, w.folded, w.proof, w.leaf, w.doc_id, b.d AS subroot
+        FROM w{levels} w JOIN subs b ON b.source_tree = w.tree)""")
+    climb("t", "v", "w.leaf, w.doc_id, w.subroot")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT v.doc_id, v.leaf, v.subroot, r.d AS root, sha256(v.proof) AS proof_sha256, v.folded AS folded_root, v.folded = r.d AS verified
+FROM v{levels} v JOIN t{levels} r ON r.tree = v.tree
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licences": op2_licences,
@@ -138,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_prefix_targets": op10_prefix_targets,
     "op12_token_counts": op12_token_counts,
+    "op13_merkle_log": op13_merkle_log,
 }
 SQL: dict[str, str] = {
     "op6_arc_warc": """
@@ -151,4 +203,5 @@ FROM (
 """,
     "op2_licences": _licence_sql(),
     "op10_prefix_targets": _prefix_sql(),
+    "op13_merkle_log": _merkle_sql(),
 }
