@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hindcast.llm.arc_warc import archived
 from hindcast.llm.chat_prefix import digests, prefix_examples
+from hindcast.llm.collocations import collocations
 from hindcast.llm.common import settled, table
 from hindcast.llm.cube_mixing import mix
 from hindcast.llm.decontaminate import find_leaks
@@ -67,6 +68,10 @@ def op10_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return digests(settled(prefix_examples(rows), "prefix-examples"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"))
 
@@ -188,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_prefix_targets": op10_prefix_targets,
+    "op11_collocations": op11_collocations,
     "op12_token_counts": op12_token_counts,
     "op13_merkle_log": op13_merkle_log,
 }
@@ -203,5 +209,31 @@ FROM (
 """,
     "op2_licences": _licence_sql(),
     "op10_prefix_targets": _prefix_sql(),
+    "op11_collocations": """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split WHERE len(w) > 0),
+runs AS (SELECT lang, k, w[i:i + k - 1] AS p FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, k, p, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::HUGEINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k AS size, p, f AS a FROM counted WHERE k > 1 AND f >= 100),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+    SELECT c.lang, c.size, c.p, c.a, c.k, x.f AS l, y.f AS r, t.n, 1000::HUGEINT * c.a * t.n // (x.f::HUGEINT * y.f) AS score,
+        x.p AS first_part, y.p AS rest
+    FROM cuts c JOIN totals t USING (lang) JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:c.k]
+    JOIN counted y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]),
+inside AS (
+    SELECT lang, first_part AS p FROM scored WHERE k = size - 1 AND l = a UNION SELECT lang, rest FROM scored WHERE k = 1 AND r = a),
+lowest AS (
+    SELECT * FROM scored s WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = s.lang AND i.p = s.p)
+    QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase,
+    a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM lowest
+QUALIFY rank <= 2000
+""",
     "op13_merkle_log": _merkle_sql(),
 }
