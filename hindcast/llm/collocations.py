@@ -6,7 +6,9 @@ before it, and only its other words make new states; its final weight is its cou
 hashed prefixes; all shards' automata of one range are united by merging their sorted windows and summing weights, which
 gives each phrase its exact count, as the count of a phrase is the weight of all windows that begin with it. Windows of
 one, two, and three to five words have prefixes of one, two and three words, so that a frequent word or word pair is
-one entry of a shard and not a group of rows.
+one entry of a shard and not a group of rows. Words and pairs are counted first. The pairs that count enough set bits of
+a filter of fixed size, and the longer windows end where a pair has no bit: no frequent phrase holds such a pair, so the
+filter decides how much is sent and never what is found.
 
 Phrases counted at least ``LEAST`` times make smaller automata. Each cut of a candidate asks for its two parts: the
 parts of a range, sorted out by candidates so that a part that many ask for is dealt to several tasks, are composed with
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,7 @@ TOP = 2000
 PREFIXES = {1: 1, 2: 2, 3: LONGEST}  # words of a prefix, and words of the longest window with such prefixes
 RANGE_CHARS = 32 << 20  # of the corpus for each range of prefixes
 SHARD_CHARS = 8_000_000  # a longer text is a shard of its own
+PAIR_BITS, PAGE_BITS = 26, 19  # of the filter of frequent pairs (8 MB), and of one page of it
 DEALT = {1: 64, 2: 16, 3: 4}  # tasks that the parts of one range are dealt to; a shorter part is asked for by more
 # Ends of pieces, and blanks inside them.
 ENDS, BLANK = b".,;:!?\n\x0b\x0c\r", b" "
@@ -72,6 +76,25 @@ def ranges_of(hashes: np.ndarray, windows: np.ndarray, depth: int, ranges: int)
     return ((mixed >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
+def compact(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, led by that number of bytes."""
+    top = int(numbers.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w - (w == 8)))
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def expanded(numbers: bytes) -> np.ndarray:
+    return np.frombuffer(numbers, f"<u{numbers[0]}", offset=1).astype(np.int64)
+
+
+def pair_bits(lang: str, hashes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The bit of the filter that each pair of word numbers has."""
+    own = np.uint64(pd.util.hash_array(np.array([lang], dtype=object))[0])
+    mixed = ((hashes[pairs[:, 0]] ^ own) * STEP + hashes[pairs[:, 1]]) * SQUASH
+    mixed ^= mixed >> np.uint64(31)
+    return ((mixed * STEP) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+
 @dataclass
 class Automaton:
     """Sorted windows of word numbers (-1 beyond their end) with final weights, and the words in byte order.
@@ -109,13 +132,12 @@ class Automaton:
         return {
             "words": [self.words[i] for i in used], "shared": same.sum(1).astype(np.int8).tobytes(),
             "lengths": (self.windows >= 0).sum(1).astype(np.int8).tobytes(),
-            "labels": np.searchsorted(used, labels).astype(np.int32).tobytes(),
-            "weights": self.weights.astype(np.int64).tobytes()}
+            "labels": compact(np.searchsorted(used, labels)), "weights": compact(self.weights)}
 
     @staticmethod
     def of_row(row) -> Automaton:
         shared, lengths = (np.frombuffer(x, np.int8).astype(np.int64) for x in (row.shared, row.lengths))
-        labels, weights = np.frombuffer(row.labels, np.int32), np.frombuffer(row.weights, np.int64)
+        labels, weights = expanded(row.labels), expanded(row.weights)
         windows = np.full((len(shared), PREFIXES[row.depth]), -1, np.int32)
         starts = np.cumsum(lengths - shared) - (lengths - shared) - shared
         for k in range(windows.shape[1]):
@@ -172,15 +194,25 @@ def numbered_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     return words, ids[ids >= 0], piece[ids >= 0]
 
 
-def shard_rows(lang: str, texts: list[bytes], ranges: int) -> list[dict]:
-    """Automata of one shard's windows, one for each depth and range."""
+def shard_rows(lang: str, texts: list[bytes], ranges: int, frequent: np.ndarray | None = None) -> list[dict]:
+    """Automata of one shard, one for each depth and range: of its words and pairs, or, where the bits of ``frequent`` pairs
+    are given, of the longer windows that hold such pairs only."""
     words, ids, piece = numbered_words(texts)
-    windows = np.full((len(ids), LONGEST), -1, np.int32)
-    for k in range(min(LONGEST, len(ids))):
-        upto = len(ids) - k
-        windows[:upto, k] = np.where(piece[k:] == piece[:upto], ids[k:], -1)
     hashes, out = word_hashes(words), []
+    windows = np.full((len(ids), 2 if frequent is None else LONGEST), -1, np.int32)
+    windows[:, 0] = ids
+    pairs = np.flatnonzero(piece[1:] == piece[:-1])
+    if frequent is not None:
+        bits = pair_bits(lang, hashes, np.stack([ids[pairs], ids[pairs + 1]], 1))
+        pairs = pairs[frequent[bits >> 3] >> (bits & 7).astype(np.uint8) & 1 == 1]
+    goes_on = np.zeros(len(ids), bool)
+    goes_on[pairs] = True
+    for k in range(1, min(windows.shape[1], len(ids))):
+        upto = len(ids) - k
+        windows[:upto, k] = np.where(goes_on[k - 1:k - 1 + upto] & (windows[:upto, k - 1] >= 0), ids[k:], -1)
     for depth, width in PREFIXES.items():
+        if (depth == max(PREFIXES)) == (frequent is None):
+            continue
         some = windows[windows[:, depth - 1] >= 0, :width]
         within = ranges_of(hashes, some, depth, ranges)
         order = sorted_rows(some, len(words), within)
@@ -192,8 +224,16 @@ def shard_rows(lang: str, texts: list[bytes], ranges: int) -> list[dict]:
     return out
 
 
-def sharded(ranges: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def sharded(ranges: int, frequent: Broadcast | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = None if frequent is None else np.frombuffer(frequent.value, np.uint8)
+
+        def rows(held: dict[str, list[bytes]]) -> Iterator[pd.DataFrame]:
+            for lang, texts in held.items():
+                made = shard_rows(lang, texts, ranges, bits)
+                if made:
+                    yield pd.DataFrame(made)
+
         held: dict[str, list[bytes]] = {}
         size = 0
         for batch in batches:
@@ -201,14 +241,32 @@ def sharded(ranges: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
                 held.setdefault(lang, []).append(text.encode())
                 size += len(text)
                 if size >= SHARD_CHARS:
-                    for name, texts in held.items():
-                        yield pd.DataFrame(shard_rows(name, texts, ranges))
+                    yield from rows(held)
                     held, size = {}, 0
-        for name, texts in held.items():
-            yield pd.DataFrame(shard_rows(name, texts, ranges))
+        yield from rows(held)
     return shards
 
 
+def frequent_pairs(automata: DataFrame) -> bytes:
+    """The filter: a bit for every pair of the automata. Its size is fixed, whatever the number of pairs."""
+    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                held = Automaton.of_row(row)
+                yield pd.DataFrame({"bit": np.unique(pair_bits(row.lang, word_hashes(held.words), held.windows))})
+
+    def packed(page: pd.DataFrame) -> pd.DataFrame:
+        here = np.zeros(1 << PAGE_BITS, np.uint8)
+        here[page["bit"] & ((1 << PAGE_BITS) - 1)] = 1
+        return pd.DataFrame({"page": [page["bit"].iloc[0] >> PAGE_BITS], "bits": [np.packbits(here, bitorder="little").tobytes()]})
+
+    whole = bytearray(1 << (PAIR_BITS - 3))
+    pages = automata.where("depth = 2").mapInPandas(bits, "bit long").distinct().groupBy(F.shiftright("bit", PAGE_BITS))
+    for row in pages.applyInPandas(packed, "page long, bits binary").collect():
+        whole[row["page"] << (PAGE_BITS - 3):(row["page"] + 1) << (PAGE_BITS - 3)] = row["bits"]
+    return bytes(whole)
+
+
 def united_range(least: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def unite(rows: pd.DataFrame) -> pd.DataFrame:
         whole = Automaton.united([Automaton.of_row(r) for r in rows.itertuples()])
@@ -225,9 +283,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, int]:
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_of().alias("text"))
     chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
     ranges = 1 + chars // RANGE_CHARS
-    shards = texts.mapInPandas(sharded(ranges), AUTOMATON)
-    return settled(
-        shards.groupBy("lang", "depth", "range").applyInPandas(united_range(least), AUTOMATON + ", total long"), "counts"), ranges
+
+    def counted(shards: DataFrame, name: str) -> DataFrame:
+        return settled(
+            shards.groupBy("lang", "depth", "range").applyInPandas(united_range(least), AUTOMATON + ", total long"), name)
+
+    short = counted(texts.mapInPandas(sharded(ranges), AUTOMATON), "short-counts")
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pairs(short))
+    long = counted(texts.mapInPandas(sharded(ranges, frequent), AUTOMATON), "long-counts")
+    return short.unionByName(long), ranges
 
 
 def asked_parts(ranges: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
