@@ -62,16 +62,18 @@ def leaves_of(docs: DataFrame) -> DataFrame:
 
 
 def ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``rows`` (tree, ...) settled with their number within the tree in that order, nulls first."""
+    """``rows`` (tree, ...) with their number within the tree in that order, nulls first, and how many leaves it has."""
     by = [F.col(c).asc_nulls_first() for c in ("tree", *order)]
     placed = settled(
         rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "placed")
     part = F.shiftright("_at", 33)
     counts = placed.groupBy("tree", part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     upto = Window.partitionBy("tree").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("tree", "_part", (F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_first")).alias("_shift"))
+    offsets = counts.select(
+        "tree", "_part", (F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy("tree")).alias("leaves"))
     return placed.withColumn("_part", part).join(offsets, ["tree", "_part"]).select(
-        *rows.columns, (F.col("_at") + F.col("_shift")).alias("rank"))
+        *rows.columns, (F.col("_at") + F.col("_shift")).alias("rank"), "leaves")
 
 
 def place(level, number, leaves):
@@ -131,13 +133,12 @@ def builder(tier: int, height: int, extra: Sequence[str]) -> Callable[[pd.DataFr
 
 
 def built(leaves: DataFrame, extra: Sequence[str] = (), height: int = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Segments of the log, one row per builder, of the trees over ``leaves`` (tree, rank, leaf, extra), and the root of
-    each tree (tree, leaf, leaves).
+    """Segments of the log, one row per builder, of the trees over ``leaves`` (tree, rank, leaf, leaves, extra), and the root
+    of each tree (tree, leaf, leaves). No step deals rows by tree alone.
 
     ``extra`` columns of the leaves are kept in the lowest segments, in leaf order.
     """
-    counted = leaves.groupBy("tree").agg(F.count("*").alias("leaves"))
-    rows = leaves.join(counted, "tree")
+    rows = leaves
     segments, roots, tier, width = None, None, 0, FAN ** height
     types = dict(leaves.dtypes)
     layout = SEGMENT + ", leaves long, top string" + "".join(f", {c} array<{types[c]}>" for c in extra)

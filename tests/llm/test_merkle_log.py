@@ -87,7 +87,7 @@ def test_log_is_in_completion_order(spark, n):
         height += 1
     visit(height, 0)
     assert [int(place(level, i, n)) for level, i in order] == list(range(len(order)))
-    leaves = spark.createDataFrame([("t", i, h(str(i))) for i in range(n)], "tree string, rank long, leaf string")
+    leaves = spark.createDataFrame([("t", i, h(str(i)), n) for i in range(n)], "tree string, rank long, leaf string, leaves long")
     segments, roots = built(leaves)
     written = {r["place"]: (r["level"], r["node"]) for r in log(segments).collect()}
     tree = levels([h(str(i)) for i in range(n)])
