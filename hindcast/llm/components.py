@@ -33,3 +33,23 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("node", "class")
         if not moved.where(F.col("class") != F.col("old")).take(1):
             return labels
+
+
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (node, class) joined further by ``links`` (a, b) among nodes in and out of them.
+
+    Only links between different classes count, once for each two classes, so a round works on classes and not on nodes.
+    """
+    left = classes.select(F.col("node").alias("a"), F.col("class").alias("ca"))
+    right = classes.select(F.col("node").alias("b"), F.col("class").alias("cb"))
+    between = settled(
+        links.join(left, "a", "left").join(right, "b", "left")
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(),
+        "between")
+    if not between.take(1):
+        return classes
+    tops = components(between)
+    above = tops.select(F.col("node").alias("class"), F.col("class").alias("top"))
+    moved = classes.join(above, "class", "left").select("node", F.coalesce("top", "class").alias("class"))
+    new = tops.join(classes.select("node"), "node", "left_anti").select("node", "class")
+    return settled(moved.unionByName(new), "merged")

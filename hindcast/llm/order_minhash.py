@@ -13,9 +13,12 @@ nothing. A bucket of at most ``SMALL`` texts is listed pair by pair. In a larger
 pivot; where several classes are left, blocks of bounded size meet two by two in one task each, which aligns the pairs of
 different classes that share enough words for a link. So a pair that agrees in one sketch is told, however many others do.
 
+Each text is aligned with one candidate first, then only with candidates that are still of another class.
+
 Defined results: null text counts as empty, and all texts without words are one class; a null id never names a class
-unless all of its class are null; the texts under a repeated id share a class; ties go to the least id; an empty table
-gives no rows; other columns are ignored.
+unless all of its class are null; unlike texts under one id have classes of their own, which that id may both name; ties
+go to the least id; one row of each class stays, also of repeated rows; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import settled, small_batches, text_of
-from hindcast.llm.components import components
+from hindcast.llm.components import components, merged
 from hindcast.llm.kneser_ney import tokens
 
 K = 3
@@ -45,7 +48,6 @@ SMALL = 8  # texts of a bucket that are compared pair by pair
 BLOCK_ROWS, BLOCK_WORDS = 1000, 2_000_000  # of a crowded bucket that meet another such block in one task
 BLOCK = 1 << 16  # k-mers hashed at once
 CHUNK_CHARS = 4_000_000
-MADE_UP = 1 << 62  # from here on, names of nodes whose rows have no id; real ids lie below
 
 # Odd multipliers of the usual 64-bit finalisers.
 MIX_A, MIX_B, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -156,12 +158,12 @@ def parts_of(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """doc_id, digest of the words, their number, and their keys."""
+    """doc_id, the text's hash, digest of the words, their number, and their keys."""
     for batch in batches:
         for part in parts_of(batch):
             rows = list(hashed_words(part["text"].tolist()))
             yield pd.DataFrame({
-                "doc_id": part["doc_id"].array,
+                "doc_id": part["doc_id"].array, "text_key": part["text_key"].array,
                 "digest": [hashlib.blake2b(w.tobytes(), digest_size=16).hexdigest() for w in rows],
                 "n": [len(w) for w in rows],
                 "keys": [keys_of(w) for w in rows],
@@ -290,34 +292,56 @@ def with_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.drop("class").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with what tells its rows apart: id and text. Neither may tell them alone, and rows alike in both may differ
+    in other columns."""
+    return docs.withColumn("text_key", F.xxhash64(text_of()))
+
+
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
+
+
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, node) of every row, where equal word sequences share a node, the class of every linked node, and the
-    links (a, b, similarity) that were needed to tell the classes."""
+    """(doc_id, text_key, node) of every row, where equal word sequences share a node, the class of every linked node, and
+    the links (a, b, similarity) that were needed to tell the classes."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    texts = named_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
     rows = settled(
-        texts.mapInPandas(sketched, "doc_id long, digest string, n long, keys array<long>"), "sketches")
-    made_up = F.shiftrightunsigned(F.xxhash64("digest"), 2) + MADE_UP
+        texts.mapInPandas(sketched, "doc_id long, text_key long, digest string, n long, keys array<long>"), "sketches")
+    # Nodes are numbered when they are written, so no id of a row is needed to name them; one row speaks for each.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("row")
     nodes = settled(
-        rows.groupBy("digest").agg(
-            F.coalesce(F.min("doc_id"), made_up).alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")),
-        "nodes")
-    membership = rows.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node")
+        rows.groupBy("digest").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    membership = settled(
+        rows.select("doc_id", "text_key", "digest").join(nodes.select("digest", "node"), "digest")
+        .select("doc_id", "text_key", "node"), "membership")
     members = nodes.select("node", "n", F.explode("keys").alias("key")).select("key", "node", "n")
 
     met, pairs = next_pairs(members)
+    pairs = settled(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # The ids of texts with any candidate grow with the corpus, so they are merged and never broadcast.
-    named = met.select("node").distinct().hint("merge")
+    wanted = nodes.join(met.select("node").distinct(), "node").select("node", "row.*").hint("merge")
     words = settled(
-        texts.join(named, texts["doc_id"] == named["node"]).select("node", "text")
+        texts.join(wanted, same_row(texts, wanted)).select("node", "text").dropDuplicates(["node"])
         .mapInPandas(short_words, "node long, words array<int>"), "words")
-    found = settled(aligned(pairs, words), "aligned")
+    # One candidate of each text first: in a large group that leaves few classes, and few of the other pairs to align.
+    once = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = settled(aligned(once, words), "aligned-once")
     classes = components(found)
-    rest = settled(crowded_links(met.where(F.col("size") > SMALL), classes, words), "rest")
-    if not rest.take(1):
-        return membership, classes, found
-    found = found.unionByName(rest)
-    return membership, components(found), found
+    others = of_two_classes(pairs, classes).join(once, ["a", "b"], "left_anti")
+    rest = settled(aligned(others, words), "aligned")
+    classes = merged(classes, rest)
+    crowd = settled(crowded_links(met.where(F.col("size") > SMALL), classes, words), "rest")
+    return membership, merged(classes, crowd), found.unionByName(rest).unionByName(crowd)
+
+
+def of_two_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    left = classes.select(F.col("node").alias("a"), F.col("class").alias("ca"))
+    right = classes.select(F.col("node").alias("b"), F.col("class").alias("cb"))
+    return pairs.join(left, "a", "left").join(right, "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def crowded_links(crowded: DataFrame, classes: DataFrame, words: DataFrame) -> DataFrame:
@@ -396,13 +420,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     null only where no row of theirs has an id.
     """
     membership, classes, _ = near_links(docs)
-    named = with_class(membership, classes)
-    return named.select(
-        "doc_id", F.when(F.col("class") < MADE_UP, F.col("class")).alias("class_id"),
-        F.when(F.col("node") < MADE_UP, F.col("node")).alias("copy_of"))
+    least = membership.groupBy("node").agg(F.min("doc_id").alias("copy_of"))
+    named = with_class(least, classes)
+    of_class = named.groupBy("class").agg(F.min("copy_of").alias("class_id"))
+    return membership.join(named.join(of_class, "class"), "node").select("doc_id", "class_id", "copy_of")
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that another row of their class stands for."""
-    gone = near_classes(docs).where(F.col("doc_id") != F.col("class_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each class of ``docs``: one with its least id, or any where none has an id."""
+    membership, classes, _ = near_links(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    by_node = membership.groupBy("node", "doc_id", "text_key").agg(F.count("*").alias("alike")).groupBy("node").agg(
+        F.min(F.struct(row.alias("row"), "alike")).alias("best"))
+    kept = settled(
+        with_class(by_node, classes).groupBy("class").agg(F.min("best").alias("best"))
+        .select(F.col("best.row.doc_id").alias("doc_id"), F.col("best.row.text_key").alias("text_key"), F.col("best.alike").alias("alike")),
+        "kept")
+    rows = docs.withColumn("_row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key")))
+
+    def those(which: DataFrame) -> DataFrame:
+        return rows.join(
+            which.select(F.struct("doc_id", "text_key").alias("_kept")), F.col("_row").eqNullSafe(F.col("_kept")), "left_semi")
+
+    # Only rows whose like in id and text are repeated need to be brought together to keep one of them.
+    single, repeated = those(kept.where("alike = 1")), those(kept.where("alike > 1"))
+    return single.unionByName(repeated.dropDuplicates(["_row"])).drop("_row")

@@ -112,6 +112,31 @@ def test_awkward_rows(awkward, no_docs):
     assert near_classes(no_docs).count() == 0 and one_per_class(no_docs).count() == 0
 
 
+def test_rows_without_an_id_and_under_one_id(spark):
+    rng = random.Random(21)
+    one, two, three, four = (prose(rng, 60).split() for _ in range(4))
+    texts = [
+        (1, one), (None, edited(rng, one, 3)), (None, two), (None, edited(rng, two, 3)), (3, three), (7, edited(rng, three, 2)),
+        (7, four), (5, prose(rng, 50).split()),
+    ]
+    texts.append(texts[-1])
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", k) for k, (i, t) in enumerate(texts)], DOCS)
+    found = sorted(((r["doc_id"], r["class_id"]) for r in near_classes(docs).collect()), key=str)
+    assert found == sorted([(1, 1), (None, 1), (None, None), (None, None), (3, 3), (7, 3), (7, 7), (5, 5), (5, 5)], key=str)
+    kept = sorted(((r["doc_id"], r["text"]) for r in one_per_class(docs).collect()), key=str)
+    assert [i for i, _ in kept] == [1, 3, 5, 7, None]
+    assert dict(kept)[7] == " ".join(four) and dict(kept)[1] == " ".join(one)
+
+
+def test_links_of_a_large_group_are_few(spark):
+    rng = random.Random(22)
+    hot = prose(rng, 60).split()
+    docs = spark.createDataFrame([(i, " ".join(edited(rng, hot, 1)), "en", "s", 1) for i in range(500)], DOCS)
+    membership, classes, links = near_links(docs)
+    assert links.count() < 2 * membership.select("node").distinct().count()
+    assert classes.select("class").distinct().count() == 1
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 50)] + [(100, 101), (7, 7), (None, 3)]
