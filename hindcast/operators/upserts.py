@@ -65,7 +65,11 @@ def merge_snapshots(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """
     # A new snapshot without an anchor is anchored at its fetch; a stored one keeps its missing anchor.
     arriving = incoming.withColumn("reference_time", F.coalesce("reference_time", "fetched_at"))
-    both = in_write_order(existing, arriving)
+    return surviving_snapshots(in_write_order(existing, arriving)).drop("_seq")
+
+
+def surviving_snapshots(both: DataFrame) -> DataFrame:
+    """Rows of the snapshots that are the last write, by ``_seq``, of their anchor and of their fetch."""
     both = both.withColumn("_month", month_key(F.coalesce("reference_time", "fetched_at")))
 
     identity = ["series_id", "reference_time", "fetched_at", "_seq"]
@@ -87,7 +91,22 @@ def merge_snapshots(existing: DataFrame, incoming: DataFrame) -> DataFrame:
         & (both.fetched_at == alive.fetched_at)
         & (both._seq == alive._seq)
     )
-    return both.join(alive, match, "left_semi").drop("_seq", "_month")
+    return both.join(alive, match, "left_semi").drop("_month")
+
+
+def stored_forecasts(rows: DataFrame) -> DataFrame:
+    """What counts among all rows ever stored, which carry ``write_seq`` and ``write_no``."""
+    keys = ["series_id", "reference_time", "target_time", *(["channel", "q"] if "channel" in rows.columns else [])]
+    return resolve_precedence(rows, keys, tie=("write_seq", "write_no"))
+
+
+def stored_snapshots(rows: DataFrame) -> DataFrame:
+    return surviving_snapshots(rows.withColumn("_seq", F.struct("write_seq", "write_no"))).drop("_seq")
+
+
+def stored_observations(rows: DataFrame) -> DataFrame:
+    rest = [named(c).desc_nulls_last() for c in rows.columns if c not in ("series_id", "ts", "write_seq", "write_no")]
+    return keep_one(rows, ["series_id", "ts"], [F.desc("write_seq"), F.desc("write_no"), *rest])
 
 
 def merge_observations(existing: DataFrame, incoming: DataFrame) -> DataFrame:

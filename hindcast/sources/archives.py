@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,15 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hindcast.functions.scalars import as_utc, month_key, named, nan_to_null
-from hindcast.operators.reshape import metadata_first
-from hindcast.operators.upserts import merge_forecasts, merge_observations, merge_snapshots, stamp_forecast
+from hindcast.functions.scalars import as_utc, named, nan_to_null
+from hindcast.operators.upserts import (
+    require_known_kinds, stamp_forecast, stored_forecasts, stored_observations, stored_snapshots,
+)
 from hindcast.schemas import LEGACY_VERSION, SOURCE_LIVE
-from hindcast.session import ready_checkpoints
-
-MONTH = "ref_month"
-# The order in which rows were written stays with them, so that a late delivery of an older write loses.
-ORDER = T.StructField("write_seq", T.LongType())
+from hindcast.sources.deltas import DeltaTable
 
 
 def _absent(error: AnalysisException) -> bool:
@@ -29,22 +26,22 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_store(spark: SparkSession, path: str, schema: T.StructType, months: Sequence[str] | None = None
-               ) -> DataFrame:
-    """Stored rows of some or all months; a store that does not exist yet is empty.
+def delta_table(spark: SparkSession, path: str, schema: T.StructType) -> DeltaTable:
+    """The table of forecasts, weather snapshots or observations with that layout."""
+    if "target_time" in schema.names:
+        return DeltaTable(spark, path, schema, F.col("reference_time"), stored_forecasts)
+    if "fetched_at" in schema.names:
+        return DeltaTable(spark, path, schema, F.coalesce("reference_time", "fetched_at"), stored_snapshots)
+    return DeltaTable(spark, path, schema, F.col("ts"), stored_observations)
+
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType, months: Sequence[str] | None = None,
+               series: Sequence[str] | None = None) -> DataFrame:
+    """Rows that count of some or all months and series; a store that does not exist yet is empty.
 
-    Months are a literal filter on the partition column, so only those folders are listed and read.
+    Months and series are looked up in the version's list, so only their folders are listed and read.
     """
-    layout = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
-    try:
-        df = spark.read.schema(layout).parquet(path)
-    except AnalysisException as error:
-        if not _absent(error):
-            raise
-        return empty(spark, schema)
-    if months is not None:
-        df = df.where(F.col(MONTH).isin(*months))
-    return df.drop(MONTH)
+    return delta_table(spark, path, schema).read(months, series)
 
 
 def read_csv_months(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
@@ -78,66 +75,38 @@ def _cell(raw: DataFrame, field: T.StructField) -> Column:
 
 def read_forecasts(spark: SparkSession, path: str, schema: T.StructType, kinds: Sequence[str] | None = None
                    ) -> DataFrame:
-    """Every stored forecast, optionally of some kinds only, in key order."""
+    """Every stored forecast, optionally of some kinds only."""
     df = read_store(spark, path, schema)
-    if kinds is not None:
-        df = df.where(F.col("kind").isin(*kinds))
-    return df.orderBy("series_id", "reference_time", "target_time")
-
-
-def write_months(df: DataFrame, path: str, time: Column) -> None:
-    """Replace the months present in ``df`` as a whole and leave the others alone."""
-    stamped = df.withColumn(MONTH, month_key(time))
-    # Rebalancing splits a month that is too big for one task and packs small ones together.
-    (
-        stamped.hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    return df if kinds is None else df.where(F.col("kind").isin(*kinds))
 
 
-def touched_months(df: DataFrame, time: Column) -> list[str]:
-    """The months a batch writes to: a short calendar list, whatever the number of rows."""
-    return sorted(row[0] for row in df.select(month_key(time)).distinct().collect())
-
-
-def _upsert(incoming: DataFrame, path: str, schema: T.StructType, time: Column,
-            merge: Callable[[DataFrame, DataFrame], DataFrame], empty_error: str | None = None) -> list[str]:
-    spark = incoming.sparkSession
-    ready_checkpoints(spark)
-    # Both checkpoints live in the shared folder: the first so that months and rows come from the same data, the
-    # second so that no partition is replaced while it is still being read.
-    incoming = incoming.checkpoint()
-    months = touched_months(incoming, time)
-    if not months:
-        if empty_error:
-            raise ValueError(empty_error)
-        return []
-    layout = T.StructType([f for f in schema.fields if f.name != ORDER.name] + [ORDER])
-    merged = merge(read_store(spark, path, layout, months), incoming).checkpoint()
-    write_months(merged, path, time)
+def _upsert(incoming: DataFrame, path: str, schema: T.StructType, empty_error: str | None = None, **batch) -> list[str]:
+    months = delta_table(incoming.sparkSession, path, schema).append(incoming, **batch)
+    if not months and empty_error:
+        raise ValueError(empty_error)
     return months
 
 
-def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType, may_be_empty: bool = False) -> list[str]:
-    """Store forecasts under the precedence rule; a forecast stays in the month of its reference time."""
-    long = "channel" in schema.names
-    return _upsert(incoming, path, schema, F.col("reference_time"),
-                   lambda old, new: metadata_first(merge_forecasts(old, new, long=long)),
-                   None if may_be_empty else "a forecast batch to be stored has no rows")
+def upsert_forecasts(incoming: DataFrame, path: str, schema: T.StructType, may_be_empty: bool = False, **batch) -> list[str]:
+    """Store forecasts under the precedence rule; a forecast stays in the month of its reference time.
+
+    All upserts add a batch to the store and return the months it touches. ``stream`` and ``batch_id`` name a batch of a
+    stream, which counts once however often it is written.
+    """
+    return _upsert(require_known_kinds(incoming), path, schema,
+                   None if may_be_empty else "a forecast batch to be stored has no rows", **batch)
 
 
-def upsert_snapshots(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
-    """Store weather snapshots, one per anchor. Times of fetch are given as ``fetched_at``."""
-    return _upsert(incoming, path, schema, F.coalesce("reference_time", "fetched_at"), merge_snapshots,
-                   "a snapshot batch to be stored has no rows")
+def upsert_snapshots(incoming: DataFrame, path: str, schema: T.StructType, **batch) -> list[str]:
+    """Store weather snapshots, one per anchor. Times of fetch are given as ``fetched_at``; a snapshot without an anchor is
+    anchored at its fetch."""
+    anchored = incoming.withColumn("reference_time", F.coalesce("reference_time", "fetched_at"))
+    return _upsert(anchored, path, schema, "a snapshot batch to be stored has no rows", **batch)
 
 
-def upsert_observations(incoming: DataFrame, path: str, schema: T.StructType) -> list[str]:
+def upsert_observations(incoming: DataFrame, path: str, schema: T.StructType, **batch) -> list[str]:
     """Store measurements, newest value per time, split over months."""
-    return _upsert(incoming, path, schema, F.col("ts"), merge_observations)
+    return _upsert(incoming, path, schema, **batch)
 
 
 def migrate_legacy(spark: SparkSession, legacy: str, path: str, schema: T.StructType,

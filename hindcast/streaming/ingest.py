@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hindcast.session import configure
-from hindcast.sources.archives import upsert_forecasts, upsert_observations
+from hindcast.sources.archives import delta_table, upsert_forecasts, upsert_observations
+from hindcast.sources.deltas import ABOVE
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet",
@@ -23,11 +24,14 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, fmt: st
     return reader.load(path)
 
 
-def _upsert_stream(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame], object]) -> StreamingQuery:
+def _upsert_stream(stream: DataFrame, store: str, schema: T.StructType, checkpoint: str, write: Callable) -> StreamingQuery:
+    """Each micro-batch is one batch of the store, named by the stream and its number, so a repeated one adds nothing.
+    Partitions that lie in many batches are compacted."""
     def each(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
         ordered = batch if "write_seq" in batch.columns else batch.withColumn("write_seq", F.lit(batch_id))
-        write(ordered)
+        write(ordered, stream=checkpoint, batch_id=batch_id)
+        delta_table(batch.sparkSession, store, schema).compact(ABOVE)
 
     return (
         stream.writeStream.foreachBatch(each)
@@ -39,12 +43,13 @@ def _upsert_stream(stream: DataFrame, checkpoint: str, write: Callable[[DataFram
 
 def ingest_observations(stream: DataFrame, store: str, schema: T.StructType, checkpoint: str) -> StreamingQuery:
     """Upsert arriving measurements. A batch may be repeated after a failure: the upsert is idempotent."""
-    return _upsert_stream(stream, checkpoint, lambda batch: upsert_observations(batch, store, schema))
+    return _upsert_stream(stream, store, schema, checkpoint, lambda batch, **of: upsert_observations(batch, store, schema, **of))
 
 
 def ingest_forecasts(stream: DataFrame, store: str, schema: T.StructType, checkpoint: str) -> StreamingQuery:
     """Upsert arriving forecasts under the precedence rule."""
-    return _upsert_stream(stream, checkpoint, lambda batch: upsert_forecasts(batch, store, schema, may_be_empty=True))
+    return _upsert_stream(
+        stream, store, schema, checkpoint, lambda batch, **of: upsert_forecasts(batch, store, schema, may_be_empty=True, **of))
 
 
 def hourly_means(stream: DataFrame, *, value: str = "value", ts: str = "ts", late: str = "2 hours") -> DataFrame:
