@@ -12,6 +12,7 @@ A block of a gridded series holds at most ``block_seconds / step`` rows, however
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -135,3 +136,92 @@ def framed(
         .where(F.col("_chunk") == F.floor(at / size))
         .drop("_chunk")
     )
+
+
+@dataclass(frozen=True)
+class Frame:
+    """Moments of the known values in a row frame, as columns."""
+
+    count: Column
+    mean: Column
+    variance: Column
+    total: Column
+    left: Column  # rows that the frame lacks before the start of its series, and after its end
+    right: Column
+
+
+def frame_moments(
+    df: DataFrame,
+    index: str,
+    column: str,
+    frames: dict[str, tuple[int, int]],
+    build: Callable[[dict[str, Frame], WindowSpec], dict[str, Column]],
+    *,
+    keys: Sequence[str] = ("series_id",),
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Evaluate expressions over moments of row frames (rows before, rows after) at a cost per row that does not depend on
+    the frame's length.
+
+    A chunk gets running sums of its values and their squares, and a frame is the difference of the two running rows at its
+    ends. Values are shifted by the chunk's mean, so that the sums stay small and little is lost in the difference. Values
+    that are not finite are counted apart and decide only the frames they lie in. ``build`` receives a ``Frame`` for each
+    name, and the chunk's window for plain looks along the rows.
+    """
+    before, after = max(b for b, _ in frames.values()), max(a for _, a in frames.values())
+    size = max(chunk_rows, 4 * (before + after))
+    at = F.col(index)
+    spread = F.sequence(F.floor((at - after) / size), F.floor((at + before) / size))
+    chunk = Window.partitionBy(*keys, "_chunk")
+    window = chunk.orderBy(index)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.col(column).cast("double")
+    endless = F.abs(value) == F.lit(float("inf"))
+    finite = F.when(~(F.isnan(value) | endless), value)
+    moved = F.col("_finite") - F.coalesce("_shift", F.lit(0.0))
+    running_sums = {
+        "_n": F.count("_finite"), "_s": F.sum(moved), "_q": F.sum(moved * moved), "_nan": F.count_if(F.isnan(value)),
+        "_up": F.count_if(value == float("inf")), "_down": F.count_if(value == float("-inf")),
+    }
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    summed = (
+        df.withColumn("_chunk", F.explode(spread))
+        .withColumn("_finite", finite).withColumn("_shift", F.avg("_finite").over(chunk))
+        .select(*kept, "_chunk", F.coalesce("_shift", F.lit(0.0)).alias("_shift"), F.row_number().over(window).alias("_row"),
+                F.count(F.lit(1)).over(chunk).alias("_size"),
+                *[F.coalesce(x.over(upto), F.lit(0)).alias(name) for name, x in running_sums.items()])
+    )
+
+    def ends(name: str, rows_before: int, rows_after: int) -> dict[str, Column]:
+        """The running sum at the frame's last row less that before its first; chunks end short only where series do."""
+        whole = chunk.orderBy(index).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = {}
+        for c in running_sums:
+            last = F.coalesce(F.lead(c, rows_after).over(window), F.last(c).over(whole))
+            out[f"_{name}{c}"] = last - F.coalesce(F.lag(c, rows_before + 1).over(window), F.lit(0))
+        return out
+
+    differences = {k: v for name, (b, a) in frames.items() for k, v in ends(name, b, a).items()}
+    inner = [c for c in summed.columns if c not in df.columns]
+    told = summed.select(*kept, *inner, *[x.alias(name) for name, x in differences.items()])
+
+    def frame(name: str) -> Frame:
+        n, s, q, nan, up, down = (F.col(f"_{name}{c}") for c in running_sums)
+        odd = (
+            F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan")))
+            .when(up > 0, F.lit(float("inf"))).when(down > 0, F.lit(float("-inf"))))
+        shift, rows_before, rows_after = F.col("_shift"), *frames[name]
+        return Frame(
+            n + nan + up + down,
+            F.coalesce(odd, F.when(n > 0, shift + s / n)),
+            F.when(odd.isNotNull(), F.lit(float("nan"))).when(n > 0, F.greatest(q / n - s / n * (s / n), F.lit(0.0))),
+            F.coalesce(odd, F.when(n > 0, shift * n + s)),
+            rows_before - F.least(F.col("_row") - 1, F.lit(rows_before)),
+            rows_after - F.least(F.col("_size") - F.col("_row"), F.lit(rows_after)))
+
+    added = build({name: frame(name) for name in frames}, window)
+    return (
+        told.select(*kept, "_chunk", *[x.alias(name) for name, x in added.items()])
+        .where(F.col("_chunk") == F.floor(at / size))
+        .drop("_chunk")
+    )

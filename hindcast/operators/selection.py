@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import kind_rank, named
-from hindcast.operators.blocks import BLOCK_SECONDS, framed, number_rows
+from hindcast.operators.blocks import BLOCK_SECONDS, Frame, frame_moments, number_rows
 from hindcast.schemas import PEAK_DISTANCE, PEAK_PROMINENCE
 
 KEY = ("series_id",)
@@ -53,15 +53,12 @@ def volatility_scores(df: DataFrame, column: str, rows: int, *, trend: bool = Fa
     """
     margin = rows if margin is None else margin
 
-    def scores(w) -> dict[str, Column]:
-        ahead = w.rowsBetween(0, rows - 1)
-        return {
-            "_var": F.var_pop(column).over(ahead), "_mean": F.avg(column).over(ahead),
-            "_final": F.lead(column, rows - 1).over(w),
-        }
+    def scores(frames: dict[str, Frame], w) -> dict[str, Column]:
+        ahead = frames["ahead"]
+        return {"_var": ahead.variance, "_mean": ahead.mean, "_final": F.lead(column, rows - 1).over(w)}
 
     numbered = number_rows(df.select(*keys, "ts", column), keys=keys, block_seconds=block_seconds)
-    scored = framed(numbered, "_rn", scores, after=rows - 1, keys=keys)
+    scored = frame_moments(numbered, "_rn", column, {"ahead": (0, rows - 1)}, scores, keys=keys)
     start = F.col("_rn") - 1
     score = F.col("_var") * F.abs(F.col(column) - F.col("_final")) if trend else F.col("_var")
     scored = scored.where((start >= first_start) & (start < F.col("_rows") - margin - 1))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import named, round_half_even
-from hindcast.operators.blocks import BLOCK_SECONDS, framed, hour_number, touch, with_neighbours
+from hindcast.operators.blocks import BLOCK_SECONDS, Frame, frame_moments, framed, hour_number, touch, with_neighbours
 from hindcast.operators.quantiles import exact_quantiles
 from hindcast.schemas import COVARIATE_LEAD
 
@@ -131,9 +131,7 @@ def lead_rows(df: DataFrame, columns: dict[str, str], rows: int = COVARIATE_LEAD
 def rolling_mean(df: DataFrame, column: str, out: str, rows: int = 720, *, index: str,
                  keys: Sequence[str] = KEY) -> DataFrame:
     """Mean of the last ``rows`` rows, as soon as one of them is known."""
-    return framed(
-        df, index, lambda w: {out: F.avg(column).over(w.rowsBetween(1 - rows, 0))}, before=rows - 1, keys=keys
-    )
+    return frame_moments(df, index, column, {"past": (rows - 1, 0)}, lambda f, w: {out: f["past"].mean}, keys=keys)
 
 
 def last_known(df: DataFrame, value: str = "value", *, keys: Sequence[str] = KEY, ts: str = "ts") -> DataFrame:
@@ -149,22 +147,20 @@ def decompose(df: DataFrame, column: str, kernels: Sequence[int] = (25,), *, ind
     """
     if any(k % 2 == 0 for k in kernels):
         raise ValueError("decomposition kernels must be odd")
-    reach = max(kernels) // 2
-
-    def trend(w, kernel: int) -> Column:
-        half = kernel // 2
-        around = w.rowsBetween(-half, half)
-        # Only the true ends of a series cut a frame short, and then its outermost row is the end value to repeat.
-        short_left = half + 1 - F.count(F.lit(1)).over(w.rowsBetween(-half, 0))
-        short_right = half + 1 - F.count(F.lit(1)).over(w.rowsBetween(0, half))
-        ends = short_left * F.first(column).over(around) + short_right * F.last(column).over(around)
-        return (F.sum(column).over(around) + ends) / kernel
-
-    def parts(w) -> dict[str, Column]:
-        total = sum((trend(w, k) for k in kernels[1:]), trend(w, kernels[0]))
+
+    def parts(around: dict[str, Frame], w) -> dict[str, Column]:
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+        def trend(kernel: int) -> Column:
+            # Only the true ends of a series cut a frame short, and then the chunk's outermost row is the value to repeat.
+            frame = around[str(kernel)]
+            ends = frame.left * F.first(column).over(whole) + frame.right * F.last(column).over(whole)
+            return (frame.total + ends) / kernel
+
+        total = sum((trend(k) for k in kernels[1:]), trend(kernels[0]))
         return {"trend": total / len(kernels)}
 
-    out = framed(df, index, parts, before=reach, after=reach, keys=keys)
+    out = frame_moments(df, index, column, {str(k): (k // 2, k // 2) for k in kernels}, parts, keys=keys)
     return out.withColumn("seasonal", F.col(column) - F.col("trend"))
 
 

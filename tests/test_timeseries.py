@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hindcast.operators import timeseries as ts
-from hindcast.operators.blocks import framed, number_rows
+from hindcast.operators.blocks import frame_moments, framed, number_rows
 from hindcast.operators.quantiles import exact_quantiles
 
 SCHEMA = "series_id string, ts timestamp, value double"
@@ -96,6 +96,34 @@ def test_frames_equal_plain_windows(spark, chunk):
     assert back(df)._rn.tolist() == back(df.withColumn("n", F.row_number().over(plain))).n.tolist()
 
 
+@pytest.mark.parametrize("chunk", [16, 8192])
+def test_frame_moments_equal_plain_windows(spark, chunk):
+    rng = np.random.default_rng(chunk)
+    pdf = sample(holes=0.1)
+    pdf["value"] = pdf["value"] * 1e3 + 1e6
+    odd = rng.random(len(pdf))
+    pdf.loc[odd < 0.02, "value"] = np.nan
+    pdf.loc[odd > 0.99, "value"] = np.inf
+    pdf.loc[(odd > 0.985) & (odd < 0.99), "value"] = -np.inf
+    df = number_rows(frame(spark, pdf.itertuples(index=False)), block_seconds=20_000)
+    df = df.withColumn("value", F.when(F.col("_rn") % 11 != 0, F.col("value")))
+    plain = Window.partitionBy("series_id").orderBy("ts")
+    spans = {"past": (19, 0), "around": (5, 5), "ahead": (0, 7)}
+
+    def build(frames, w):
+        return {f"{name}_{part}": getattr(frames[name], part) for name in spans for part in ("count", "mean", "total", "variance")}
+
+    got = back(frame_moments(df, "_rn", "value", spans, build, chunk_rows=chunk))
+    made = {}
+    for name, (before, after) in spans.items():
+        w = plain.rowsBetween(-before, after)
+        made |= {f"{name}_count": F.count("value").over(w), f"{name}_mean": F.avg("value").over(w), f"{name}_total": F.sum("value").over(w),
+                 f"{name}_variance": F.var_pop("value").over(w)}
+    want = back(df.select("*", *[c.alias(n) for n, c in made.items()]))
+    for name in made:
+        np.testing.assert_allclose(got[name].to_numpy(float), want[name].to_numpy(float), rtol=1e-9, atol=1e-6)
+
+
 def test_decomposition(spark):
     n = 60
     values = np.random.default_rng(5).normal(size=n)
