@@ -976,6 +976,16 @@ def stream_hourly(spark, folder):
     return rounded(spark.read.schema(hours.schema).parquet(path), "value")
 
 
+@query("""SELECT series_id, date_trunc('hour', ts) AS ts, round(avg(value), 6) AS value, count(value) AS readings FROM (
+    SELECT event_type AS series_id, ts, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2) GROUP BY 1, 2""")
+def stream_late_repair(spark, folder):
+    """Readings of all hours in each of four batches: every batch repairs hours that the batches before it had closed."""
+    path = fx.scratch(spark, "repair")
+    stream = _event_stream(spark, folder, files=4).select("series_id", "ts", "value", F.col("event_id").alias("write_seq"))
+    ingest.maintain_hours(stream, f"{path}/readings", f"{path}/hours", f"{path}/progress").awaitTermination()
+    return rounded(archives.read_store(spark, f"{path}/hours", ingest.HOURS), "value")
+
+
 @query("""SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2""")
 def stream_upsert(spark, folder):
     """Readings streamed into the observation store, out of order over several batches; the latest of each hour stays."""

@@ -209,6 +209,16 @@ class DeltaTable:
         columns = [named(c) for c in self.stored.names]
         return self.resolve(rows.select(*columns)).select(*columns)
 
+    def folders(self, rows: DataFrame) -> set[tuple[str, int]]:
+        """The (month, bucket) pairs that ``rows`` belong to: as many as folders, however many rows."""
+        at = rows.select(month_key(self.time).alias(MONTH), bucket_of(F.col("series_id"), self.version().buckets).alias(BUCKET))
+        return {(r[0], r[1]) for r in at.distinct().collect()}
+
+    def read_folders(self, wanted: set[tuple[str, int]]) -> DataFrame:
+        """Rows that count in those folders, and no other is read."""
+        held = self.version()
+        return self._resolved(held, [p for p in held.parts if p[1:] in wanted]).select(*[named(c) for c in self.schema.names])
+
     def read(self, months: Sequence[str] | None = None, series: Sequence[str] | None = None, version: int | None = None) -> DataFrame:
         """Rows that count, in the table's columns; only folders of those months and of those series' buckets are read."""
         held = self.version(version)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hindcast.session import configure
+from hindcast.schemas import OBSERVATION
+from hindcast.session import configure, ready_checkpoints
 from hindcast.sources.archives import delta_table, upsert_forecasts, upsert_observations
 from hindcast.sources.deltas import ABOVE
 
@@ -60,3 +61,36 @@ def hourly_means(stream: DataFrame, *, value: str = "value", ts: str = "ts", lat
         .agg(F.avg(value).alias(value), F.count(F.lit(1)).alias("readings"))
         .select("series_id", F.col("_hour.start").alias(ts), value, "readings")
     )
+
+
+HOURS = T.StructType([*OBSERVATION.fields, T.StructField("readings", T.LongType())])
+
+
+def maintain_hours(stream: DataFrame, readings: str, hours: str, checkpoint: str) -> StreamingQuery:
+    """Keep hourly means right however late a reading comes, also after its hour was closed and read by others.
+
+    A micro-batch adds its readings to their store, then recomputes from that store the hours it touches, and those
+    alone, and adds them to the store of hours, where the newer row of an hour counts. Both stores log the batch: one that
+    is repeated after a failure adds what is missing and nothing twice. No state is kept but the stores, so no watermark
+    bounds how late a reading may be.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = configure(batch.sparkSession)
+        ready_checkpoints(spark)
+        raw, view = delta_table(spark, readings, OBSERVATION), delta_table(spark, hours, HOURS)
+        ordered = batch if "write_seq" in batch.columns else batch.withColumn("write_seq", F.lit(batch_id))
+        # Written once, as three steps below read it: rows, folders and hours must be of the same data.
+        ordered = ordered.checkpoint()
+        raw.append(ordered, stream=checkpoint, batch_id=batch_id)
+        hour = F.date_trunc("hour", "ts").alias("_hour")
+        touched = ordered.where(F.col("ts").isNotNull()).select("series_id", hour).distinct()
+        whole = raw.read_folders(raw.folders(ordered)).withColumn("_hour", hour)
+        again = whole.join(
+            touched, whole["series_id"].eqNullSafe(touched["series_id"]) & (whole["_hour"] == touched["_hour"]), "left_semi"
+        ).groupBy("series_id", "_hour").agg(F.avg("value").alias("value"), F.count("value").alias("readings"))
+        view.append(again.withColumnRenamed("_hour", "ts"), stream=checkpoint, batch_id=batch_id)
+        for table in (raw, view):
+            table.compact(ABOVE)
+
+    return (
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
