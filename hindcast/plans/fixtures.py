@@ -193,13 +193,11 @@ def requests(gauge: DataFrame, offsets=BACKTEST_OFFSETS) -> DataFrame:
 
 
 def archive(gauge: DataFrame) -> DataFrame:
-    """Stored forecasts of the hours whose first reading was high: four steps, three levels each."""
+    """Stored forecasts of every hour: four steps, three levels each; live runs on some days, replays or oracles on others."""
     steps = F.explode(F.sequence(F.lit(1), F.lit(4))).alias("step")
     levels = F.explode(F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias("q")
-    runs = gauge.where(F.col("value") > 100)
-    hour = F.hour("ts")
-    kind = F.when(hour % 3 == 0, "live").when(hour % 3 == 1, "replay").otherwise("oracle")
-    return runs.select("series_id", "ts", "value", kind.alias("kind"), steps).select("*", levels).select(
+    kind = F.when(day_number() % 3 != 0, "oracle").when(F.hour("ts") % 3 == 0, "live").when(F.hour("ts") % 3 == 1, "replay").otherwise("oracle")
+    return gauge.select("series_id", "ts", "value", kind.alias("kind"), steps).select("*", levels).select(
         "series_id", F.col("ts").alias("reference_time"), (F.col("ts") + hours(F.col("step"))).alias("target_time"),
         "kind", F.lit("dwd_forecast").alias("covariate_source"), F.col("ts").alias("issued_at"),
         F.lit("m1").alias("model_id"), F.lit("v1").alias("code_version"), F.lit("wassertemp").alias("channel"), "q",
@@ -208,14 +206,15 @@ def archive(gauge: DataFrame) -> DataFrame:
 
 
 def snapshots(gauge: DataFrame) -> DataFrame:
-    """Weather forecasts fetched 30 minutes after high readings, with holes, reaching 120 hours ahead."""
+    """Weather forecasts of every hour with holes, reaching 120 hours ahead; on some days they come off the hour, days late."""
     ahead = F.explode(F.sequence(F.lit(-2), F.lit(120))).alias("step")
-    runs = gauge.where(F.col("value") > 120)
     at = F.col("ts") + hours(F.col("step"))
-    return runs.select("series_id", "ts", "value", ahead).select(
-        "series_id", F.col("ts").alias("reference_time"),
-        (F.col("ts") + F.expr("interval 30 minutes")).alias("fetched_at"), at.alias("ts"),
-        F.when(F.col("step") % 9 != 0, 5 + F.hour(at) * 0.5 + F.col("value") / 100).alias("airtemp"),
+    late = day_number() % 3 == 1
+    anchor = F.when(late, F.col("ts") + F.expr("interval 20 minutes")).otherwise(F.col("ts"))
+    fetched = F.when(late, F.col("ts") + F.expr("interval 3 days")).otherwise(F.col("ts") + F.expr("interval 30 minutes"))
+    return gauge.select("series_id", "ts", "value", ahead).select(
+        "series_id", anchor.alias("reference_time"), fetched.alias("fetched_at"), at.alias("ts"),
+        F.when(F.col("step") % 9 != 0, 5 + F.hour(at) * 0.5 + F.coalesce("value", F.lit(0.0)) / 100).alias("airtemp"),
         F.when(F.col("step") % 7 != 0, 1000 + F.hour(at) * 0.25).alias("pressure"),
     )
 

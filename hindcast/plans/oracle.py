@@ -133,13 +133,15 @@ CTES = {
         FROM (SELECT series_id, ts, CASE WHEN gauged_nt IS NOT NULL THEN {fill('value')} END AS wassertemp, {fill('airtemp')} AS airtemp,
         {fill('pressure')} AS pressure FROM merged_near) WINDOW w AS (PARTITION BY series_id ORDER BY ts)""",
     "archive": """SELECT series_id, ts AS reference_time, ts + INTERVAL 1 HOUR * s.step AS target_time,
-        CASE hour(ts) % 3 WHEN 0 THEN 'live' WHEN 1 THEN 'replay' ELSE 'oracle' END AS kind, 'dwd_forecast' AS covariate_source,
+        CASE WHEN floor(epoch(ts) / 86400) % 3 <> 0 THEN 'oracle' WHEN hour(ts) % 3 = 0 THEN 'live' WHEN hour(ts) % 3 = 1 THEN 'replay'
+        ELSE 'oracle' END AS kind, 'dwd_forecast' AS covariate_source,
         'wassertemp' AS channel, l.q, value / 10 + s.step * 0.1 + (l.q - 0.5) AS value FROM gauge, (SELECT unnest([1, 2, 3, 4]) AS step) s,
-        (SELECT unnest([0.01::DOUBLE, 0.5::DOUBLE, 0.99::DOUBLE]) AS q) l WHERE value > 100""",
-    "snapshots": """SELECT series_id, ts AS anchor, ts + INTERVAL 30 MINUTE AS fetched_at, ts + INTERVAL 1 HOUR * s.step AS ts,
-        CASE WHEN s.step % 9 <> 0 THEN 5 + hour(ts + INTERVAL 1 HOUR * s.step) * 0.5::DOUBLE + value / 100 END AS airtemp,
+        (SELECT unnest([0.01::DOUBLE, 0.5::DOUBLE, 0.99::DOUBLE]) AS q) l""",
+    "snapshots": """SELECT series_id, CASE WHEN late THEN ts + INTERVAL 20 MINUTE ELSE ts END AS anchor,
+        CASE WHEN late THEN ts + INTERVAL 3 DAY ELSE ts + INTERVAL 30 MINUTE END AS fetched_at, ts + INTERVAL 1 HOUR * s.step AS ts,
+        CASE WHEN s.step % 9 <> 0 THEN 5 + hour(ts + INTERVAL 1 HOUR * s.step) * 0.5::DOUBLE + coalesce(value, 0) / 100 END AS airtemp,
         CASE WHEN s.step % 7 <> 0 THEN 1000 + hour(ts + INTERVAL 1 HOUR * s.step) * 0.25::DOUBLE END AS pressure
-        FROM gauge, (SELECT unnest(generate_series(-2, 120)) AS step) s WHERE value > 120""",
+        FROM (SELECT *, floor(epoch(ts) / 86400) % 3 = 1 AS late FROM gauge), (SELECT unnest(generate_series(-2, 120)) AS step) s""",
     "tier1": f"""SELECT r.request_id, r.series_id, r.offset_hours, a.reference_time, a.kind, a.covariate_source FROM requests r JOIN
         (SELECT DISTINCT series_id, reference_time, kind, covariate_source FROM archive WHERE kind IN ('live', 'replay')) a
         ON a.series_id = r.series_id AND abs(epoch_us(a.reference_time) - epoch_us(r.ref)) <= 7200000000
