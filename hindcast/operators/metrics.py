@@ -14,6 +14,14 @@ from hindcast.schemas import LOCAL_ZONE
 STEP = ("series_id", "reference_time", "target_time")
 
 
+def side_by_side(df: DataFrame, reference: str, value: str, left: str, right: str, *, ts: str = "ts") -> DataFrame:
+    """``ts``, ``series_id`` and the values of the reference series and of each other one at the times both have."""
+    first = df.where(F.col("series_id") == reference).select(ts, F.col(value).alias(left))
+    second = df.where(F.col("series_id") != reference).select(
+        ts, F.concat_ws("-", F.lit(reference), "series_id").alias("series_id"), F.col(value).alias(right))
+    return first.join(second, ts).select(ts, "series_id", left, right)
+
+
 def difference(pair: DataFrame, left: str, right: str, out: str = "diff") -> DataFrame:
     return pair.withColumn(out, F.col(left) - F.col(right))
 

@@ -149,9 +149,9 @@ def series_stats(spark, folder):
     return rounded(metrics.describe(fx.obs(spark, folder), "value"), *STAT_COLUMNS)
 
 
-@query(f"SELECT 'click-view' AS series_id, {STATS} FROM (SELECT first_river - second_river AS value FROM pair)")
+@query(f"SELECT series_id, {STATS} FROM (SELECT series_id, first_river - second_river AS value FROM pairs) GROUP BY 1")
 def series_diff_stats(spark, folder):
-    diff = metrics.difference(fx.pair(spark, folder), "first_river", "second_river", "value")
+    diff = metrics.difference(fx.pairs(spark, folder), "first_river", "second_river", "value")
     return rounded(metrics.describe(diff, "value"), *STAT_COLUMNS)
 
 

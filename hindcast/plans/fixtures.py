@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.functions.zones import to_local
+from hindcast.operators.metrics import side_by_side
 from hindcast.operators.selection import keep_one
 from hindcast.operators.timeseries import (
     fill_both_ways, hourly_first, hourly_mean, hourly_weather, interpolate_time, last_known, on_grid, rolling_origins,
@@ -98,14 +99,12 @@ def hourly(spark: SparkSession, folder: str) -> DataFrame:
     return fill_both_ways(hourly_mean(obs(spark, folder)), ["value"])
 
 
-def pair(spark: SparkSession, folder: str) -> DataFrame:
-    """Two series side by side: hourly means of clicks and views."""
+def pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly means of clicks beside those of every other series."""
     means = obs(spark, folder).groupBy("series_id", F.date_trunc("hour", "ts").alias("ts")).agg(
         F.avg("value").alias("value")
     )
-    click = means.where(F.col("series_id") == "click").select("ts", F.col("series_id").alias("_a"), F.col("value").alias("first_river"))
-    view = means.where(F.col("series_id") == "view").select("ts", F.col("series_id").alias("_b"), F.col("value").alias("second_river"))
-    return click.join(view, ["ts"]).select("ts", F.concat_ws("-", "_a", "_b").alias("series_id"), "first_river", "second_river")
+    return side_by_side(means, "click", "value", "first_river", "second_river")
 
 
 def daily(spark: SparkSession, folder: str) -> DataFrame:

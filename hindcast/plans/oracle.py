@@ -91,8 +91,8 @@ CTES = {
         {half_even('coalesce(h.precip, 0)')} AS precip FROM obs_grid g LEFT JOIN (
         SELECT series_id, date_trunc('hour', ts) AS ts, avg({blend('airtemp')}) AS airtemp, avg({blend('pressure')}) AS pressure,
         sum(precip) AS precip FROM weather_near GROUP BY 1, 2) h USING (series_id, ts)""",
-    "pair": """SELECT c.ts, c.value AS first_river, v.value AS second_river FROM hour_means c JOIN hour_means v USING (ts)
-        WHERE c.series_id = 'click' AND v.series_id = 'view'""",
+    "pairs": """SELECT 'click-' || v.series_id AS series_id, c.ts, c.value AS first_river, v.value AS second_river FROM hour_means c
+        JOIN hour_means v USING (ts) WHERE c.series_id = 'click' AND v.series_id <> 'click'""",
     "days": """SELECT o_orderpriority AS series_id, date_trunc('day', o_orderdate)::TIMESTAMP AS ts, avg(o_totalprice) / 18000 AS value
         FROM orders GROUP BY 1, 2""",
     "days_grid": grid("days", "day"),
