@@ -45,7 +45,10 @@ def resolve_backtests(
 
     ``requests`` has ``request_id, series_id, offset_hours, ref``; ``archive`` long quantile rows; ``snapshots``
     ``series_id, reference_time, fetched_at, ts, airtemp, pressure``. Replays and oracles share one forecast pass.
+    A request whose context is too short fails the job (``short="error"``), is left out (``"skip"``) or comes back as one
+    row without kind and forecast (``"keep"``).
     """
+    keep, short = short == "keep", "skip" if short == "keep" else short
     # Requests that share series and time have one answer, worked out once.
     wanted = requests.select("request_id", "series_id", "offset_hours", "ref")
     origins = wanted.select("series_id", "ref").distinct().withColumn("request_id", origin_id("series_id", "ref"))
@@ -70,8 +73,9 @@ def resolve_backtests(
     recomputed = computed.join(tagged, "request_id").withColumn("reference_time", F.col("ref")).select(
         *answer, F.lit(False).alias("from_archive")
     )
-    return wanted.join(looked_up.unionByName(recomputed), ["series_id", "ref"]).withColumns({
-        "is_honest": is_honest(F.col("kind")),
+    answers = looked_up.unionByName(recomputed)
+    return wanted.join(answers, ["series_id", "ref"], "left" if keep else "inner").withColumns({
+        "is_honest": F.when(F.col("kind").isNotNull(), is_honest(F.col("kind"))),
         "label": backtest_label(F.col("offset_hours"), F.col("kind")),
     }).select(*BACKTEST_COLUMNS)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -196,13 +198,90 @@ def long_context(context: DataFrame) -> DataFrame:
     return context.unpivot(["request_id", "ts"], list(CHANNELS), "channel", "value")
 
 
-def forecast_batch(context: DataFrame, forecaster: Callable | None = None, *, levels: Sequence[float] = QUANTILES,
+@dataclass(frozen=True)
+class Plugged:
+    """A model that answers many contexts in one call.
+
+    ``load`` runs once per worker process and returns the model: a function from a pandas frame of up to ``contexts``
+    whole contexts (``request_id, ts`` and the channels, each request's rows together and in time order) to rows of the
+    forecaster layout. ``name`` tells loaded models of one worker apart, so a new version needs a new name.
+    """
+
+    name: str
+    load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]
+    contexts: int = 256
+
+
+_LOADED: dict[str, Callable[[pd.DataFrame], pd.DataFrame]] = {}
+
+
+def loaded(plug: Plugged) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    if plug.name not in _LOADED:
+        _LOADED[plug.name] = plug.load()
+    return _LOADED[plug.name]
+
+
+def packs(batches: Iterator[pd.DataFrame], contexts: int) -> Iterator[pd.DataFrame]:
+    """Whole requests in packs of ``contexts`` (the last one smaller), from batches in which a request's rows follow each other.
+
+    At most one pack and one batch are held at a time.
+    """
+    rest = None
+    for batch in batches:
+        if batch.empty:
+            continue
+        rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        pack = ((rest["request_id"] != rest["request_id"].shift()).cumsum() - 1) // contexts
+        # The last pack may go on in the next batch.
+        for _, whole in rest[pack < pack.iloc[-1]].groupby(pack, sort=True):
+            yield whole.reset_index(drop=True)
+        rest = rest[pack == pack.iloc[-1]]
+    if rest is not None:
+        yield rest.reset_index(drop=True)
+
+
+def plugged_forecast(context: DataFrame, plug: Plugged) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pack in packs(batches, plug.contexts):
+            yield loaded(plug)(pack)[FORECASTER_OUTPUT.names]
+
+    together = context.select("request_id", "ts", *CHANNELS).repartition("request_id").sortWithinPartitions("request_id", "ts")
+    return together.mapInPandas(run, FORECASTER_OUTPUT)
+
+
+def answer_requests(wide: DataFrame, requests: DataFrame, forecaster: Callable | Plugged | None = None, *,
+                    rows: int = CONTEXT_ROWS, horizon: int = HORIZON) -> DataFrame:
+    """Every request: its forecast with status ``ok``, or a single row that says why it has none.
+
+    A request needs ``rows`` hourly rows up to its reference time (else ``short``) and a reading of every channel in them
+    (else ``no <channel>``), so one bad series does not stop the others.
+    """
+    asked = hours_back(requests.select("request_id", "series_id", "ref"), rows)
+    hours = wide.select("series_id", F.col("date").alias("ts"), *CHANNELS, F.lit(1).alias("_hit"))
+    # A request has exactly ``rows`` rows here, whether its series knows these hours or not.
+    of_request = Window.partitionBy("request_id")
+    counts = {f"_{c}": F.count(c).over(of_request) for c in ("_hit", *CHANNELS)}
+    counted = asked.join(hours, ["series_id", "ts"], "left").withColumns(counts)
+    status = F.when(F.col("__hit") < rows, "short")
+    for c in CHANNELS:
+        status = status.when(F.col(f"_{c}") == 0, f"no {c}")
+    judged = counted.withColumn("status", status.otherwise("ok"))
+    context = _no_gaps(judged.where(F.col("status") == "ok").select("request_id", "ts", *CHANNELS))
+    answered = forecast_batch(context, forecaster, horizon=horizon).withColumn("status", F.lit("ok"))
+    refused = judged.where(F.col("status") != "ok").dropDuplicates(["request_id"]).select("request_id", "status")
+    return answered.unionByName(refused, allowMissingColumns=True)
+
+
+def forecast_batch(context: DataFrame, forecaster: Callable | Plugged | None = None, *, levels: Sequence[float] = QUANTILES,
                    horizon: int = HORIZON) -> DataFrame:
     """Quantiles ``(request_id, target_time, channel, q, value)`` for every context.
 
     ``forecaster`` receives one request's context as a pandas frame (``request_id, ts`` and the channels, in time
-    order) and returns rows of the same output layout. Without one, :func:`profile_forecast` is used.
+    order) and returns rows of the same output layout; a :class:`Plugged` model receives many contexts at once. Without
+    either, :func:`profile_forecast` is used.
     """
+    if isinstance(forecaster, Plugged):
+        return plugged_forecast(context, forecaster)
     if forecaster is None:
         return profile_forecast(long_context(context), levels=levels, horizon=horizon).select(
             "request_id", "target_time", "channel", "q", "value"

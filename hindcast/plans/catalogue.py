@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -375,6 +377,20 @@ def chunk_union(spark, folder):
     return rounded(upserts.union_chunks(chunks, ["series_id", "ts"]), "value")
 
 
+@query("""SELECT series_id, reference_time, target_time, 'live' AS kind, 'dwd_forecast' AS covariate_source, reference_time AS issued_at,
+    '' AS model_id, 'legacy' AS code_version, max(wassertemp) AS wassertemp FROM candidates GROUP BY series_id, reference_time, target_time""")
+def migrate_flat(spark, folder):
+    """The same from flat CSV files, by way of a store."""
+    path = fx.scratch(spark, "flat")
+    flat = fx.candidates(spark, folder).groupBy("series_id", "reference_time", "target_time").agg(F.max("wassertemp").alias("wassertemp"))
+    spelled = F.date_format("target_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("target_time")
+    flat.select("wassertemp", spelled, F.date_format("reference_time", "yyyy-MM-dd HH:mm:ssXXX").alias("reference_time"), "series_id").write.option(
+        "header", True).csv(f"{path}/csv")
+    schema = type(FORECAST_WIDE)([f for f in FORECAST_WIDE.fields if "_q" not in f.name]).add("wassertemp", "double")
+    archives.migrate_legacy(spark, f"{path}/csv", f"{path}/store", schema)
+    return archives.read_store(spark, f"{path}/store", schema)
+
+
 @query("""SELECT series_id, reference_time, target_time, 'live' AS kind, 'dwd_forecast' AS covariate_source, reference_time AS issued_at,
     '' AS model_id, 'legacy' AS code_version, max(wassertemp) AS wassertemp FROM candidates GROUP BY series_id, reference_time, target_time""")
 def legacy_migration(spark, folder):
@@ -386,6 +402,29 @@ def legacy_migration(spark, folder):
     return reshape.metadata_first(upserts.merge_forecasts(stamped.limit(0), stamped))
 
 
+@query("""SELECT series_id, reference_time, target_time, CASE WHEN layout <> 1 THEN kind END AS kind,
+    CASE WHEN layout = 0 THEN date_trunc('second', issued_at) END AS issued_at, CASE WHEN layout <> 2 OR event_id % 5 <> 0 THEN wassertemp END AS wassertemp
+    FROM (SELECT *, write_seq AS event_id, floor(epoch(reference_time) / 86400)::BIGINT % 3 AS layout FROM candidates)""")
+def csv_months(spark, folder):
+    """A CSV file a day in three layouts that drift: columns in other places, missing, unknown, unreadable."""
+    path = fx.scratch(spark, "csv")
+    rows = fx.candidates(spark, folder).withColumn("day", F.floor(F.unix_micros("reference_time") / F.lit(86_400_000_000)))
+    plain = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ssXXX").alias(c) for c in ("reference_time", "target_time", "issued_at")}
+    other = F.date_format("target_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("target_time")
+    unread = F.when(F.col("write_seq") % 5 != 0, F.col("wassertemp").cast("string")).otherwise("NaN").alias("wassertemp")
+    layouts = (
+        ["series_id", plain["reference_time"], plain["target_time"], "kind", plain["issued_at"], "wassertemp"],
+        ["wassertemp", plain["target_time"], plain["reference_time"], "series_id"],
+        [other, "series_id", F.lit("a, note").alias("note"), plain["reference_time"], unread, "kind"],
+    )
+    for at, columns in enumerate(layouts):
+        part = rows.where(F.col("day") % 3 == at).select(*columns, "day").repartition("day")
+        part.write.partitionBy("day").option("header", True).csv(f"{path}/{at}")
+    names = ("series_id", "reference_time", "target_time", "kind", "issued_at", "wassertemp")
+    schema = type(FORECAST_WIDE)([f for f in FORECAST_WIDE.fields if f.name in names]).add("wassertemp", "double")
+    return archives.read_csv_months(spark, [f"{path}/{at}/day=*" for at in range(len(layouts))], schema)
+
+
 @query(f"""SELECT {WIDE_NAMES} FROM relabelled WHERE kind IN ('live', 'replay')""", relabelled=RELABELLED + """
     QUALIFY row_number() OVER (PARTITION BY series_id, reference_time, target_time
     ORDER BY (CASE kind WHEN 'live' THEN 2 WHEN 'replay' THEN 1 ELSE 0 END) DESC, issued_at DESC NULLS LAST, write_seq DESC) = 1""")
@@ -457,8 +496,9 @@ def left_join_weather(spark, folder):
 
 
 @query("""SELECT request_id, series_id, offset_hours, reference_time, kind, covariate_source, is_honest, label, target_time, channel, q,
-    round(value, 5) AS value FROM labelled""")
+    round(value, 5) AS value FROM every_backtest""")
 def tiered_backtest(spark, folder):
+    """Every request: its forecast from the best tier, or one row without a kind where its context is too short."""
     return rounded(_backtests(spark, folder).drop("from_archive"), "value", digits=5)
 
 
@@ -466,7 +506,7 @@ def _backtests(spark, folder):
     gauge, weather = held(spark, folder)
     return backtests.resolve_backtests(
         fx.requests(gauge), fx.archive(gauge), fx.snapshots(gauge), gauge,
-        weather, short="skip",
+        weather, short="keep",
     )
 
 
@@ -742,6 +782,52 @@ def context_windows(spark, folder):
     return rounded(forecasting.context_rows(wide, fx.requests(gauge), short="skip"), *CHANNELS)
 
 
+OLD_OFFSETS = (96, 192, 480)
+OLD_REQUESTS = {
+    "requests": sq.CTES["requests"].replace("[96, 192, 288]", str(list(OLD_OFFSETS))),
+    "tier1": "SELECT * FROM requests WHERE false", "tier2": "SELECT *, ref AS anchor, ref AS fetched_at FROM requests WHERE false",
+}
+
+
+def _seasonal_naive():
+    """A small model in place of a network: the last day again, and levels by the mean step of each channel."""
+    steps = pd.RangeIndex(1, 97)
+    levels = np.array(QUANTILES)
+
+    def answer(contexts: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for request, rows in contexts.groupby("request_id", sort=False):
+            last = rows["ts"].iloc[-1]
+            for channel in CHANNELS:
+                values = rows[channel].to_numpy()
+                day = values[-24:][(steps - 1) % 24]
+                spread = np.abs(np.diff(values)).mean()
+                parts.append(pd.DataFrame({
+                    "request_id": request, "target_time": np.repeat(last + pd.to_timedelta(steps, unit="h"), len(levels)), "channel": channel,
+                    "q": np.tile(levels, len(steps)), "value": (day[:, None] + (levels - 0.5) * spread).ravel(),
+                }))
+        return pd.concat(parts, ignore_index=True)
+
+    return answer
+
+
+@query(f"""SELECT r.request_id, f.target_time, f.channel, f.q, round(f.value, 6) AS value, CASE WHEN f.request_id IS NULL THEN 'short' ELSE 'ok' END AS status
+    FROM requests r LEFT JOIN forecast f USING (request_id)""",
+       forecast=f"""SELECT d.request_id, d.channel, d.last_ts + INTERVAL 1 HOUR * h.step AS target_time, l.q, d.value + (l.q - 0.5) * s.spread AS value
+    FROM last_day d JOIN mean_steps s USING (request_id, channel), (SELECT unnest(generate_series(1, 96)) AS step) h, (SELECT unnest({sq.LEVEL_LIST}) AS q) l
+    WHERE (h.step - 1) % 24 = d.place""",
+       last_day="""SELECT request_id, channel, value, max(ts) OVER p AS last_ts, 24 - row_number() OVER (PARTITION BY request_id, channel ORDER BY ts DESC) AS place
+    FROM context_long WINDOW p AS (PARTITION BY request_id, channel) QUALIFY place >= 0""",
+       mean_steps="""SELECT request_id, channel, avg(abs(step)) AS spread FROM (SELECT request_id, channel,
+    value - lag(value) OVER (PARTITION BY request_id, channel ORDER BY ts) AS step FROM context_long) GROUP BY 1, 2""", **OLD_REQUESTS)
+def plugged_forecast(spark, folder):
+    """A plugged model over packs of contexts; requests that reach too far back come out with their status."""
+    gauge, weather = held(spark, folder)
+    model = forecasting.Plugged("seasonal-naive", _seasonal_naive)
+    answers = forecasting.answer_requests(forecasting.assemble(gauge, weather), fx.requests(gauge, OLD_OFFSETS), model)
+    return rounded(answers.select("request_id", "target_time", "channel", "q", "value", "status"), "value")
+
+
 @query("""SELECT r.request_id, r.series_id, least(count(w.date), 384) AS have, count(w.date) >= 384 AS complete
     FROM requests r LEFT JOIN wide w ON w.series_id = r.series_id AND w.date <= r.ref GROUP BY 1, 2""")
 def context_status(spark, folder):

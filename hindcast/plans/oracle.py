@@ -187,6 +187,8 @@ CTES = {
         FROM tier2 r JOIN computed c USING (request_id) UNION ALL
         SELECT request_id, r.series_id, r.offset_hours, r.ref, 'oracle', 'dwd_observed', c.target_time, c.channel, c.q, c.value, false
         FROM tier3 r JOIN computed c USING (request_id)""",
+    "every_backtest": """SELECT request_id, series_id, offset_hours, b.reference_time, b.kind, b.covariate_source, b.is_honest, b.label,
+        b.target_time, b.channel, b.q, b.value FROM requests r LEFT JOIN labelled b USING (request_id, series_id, offset_hours)""",
     "labelled": """SELECT *, kind <> 'oracle' AS is_honest, 'Backtest -' || offset_hours || 'h (' || kind ||
         CASE WHEN kind = 'oracle' THEN ', perfect weather' ELSE '' END || ')' AS label FROM backtests""",
 }

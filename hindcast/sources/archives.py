@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,21 +50,49 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, months: Seq
 def read_csv_months(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     """Hand-readable monthly files whose columns may differ; missing or empty files count as no rows.
 
-    Columns are matched by header name, times are read in either spelling as UTC, unreadable cells become null.
+    Columns are matched by header name, times are read in either spelling as UTC, unreadable cells become null. One job
+    reads the headers of all files; after that there is one scan per distinct header, however many files share it.
     """
     frames = []
-    for path in paths:
-        try:
-            raw = spark.read.option("header", True).csv(path)
-        except AnalysisException as error:
-            if not _absent(error):
-                raise
-            continue
-        if raw.columns:
-            frames.append(raw.select(*[_cell(raw, f).alias(f.name) for f in schema.fields]))
+    for names, files in csv_layouts(spark, paths).items():
+        layout = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        raw = spark.read.schema(layout).option("header", True).csv(files)
+        frames.append(raw.select(*[_cell(raw, f).alias(f.name) for f in schema.fields]))
     return reduce(DataFrame.unionByName, frames) if frames else empty(spark, schema)
 
 
+def csv_layouts(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``paths`` by the column names of their first line that is not blank; files without one are left out.
+
+    The driver gets one row per file. A repeated or missing name is numbered, so that the first of its kind keeps it.
+    """
+    found = [path for path in paths if _exists(spark, path)]
+    if not found:
+        return {}
+    lines = spark.read.text(found).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    )
+    # The first block of a file is read by one task, in order.
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path").agg(
+        F.min_by("value", "line").alias("header")
+    )
+    layouts = defaultdict(list)
+    for row in first.orderBy("path").collect():
+        names, seen = [], set()
+        for at, name in enumerate(next(csv.reader([row.header.removeprefix("\ufeff")]))):
+            names.append(name if name and name.lower() not in seen else f"{name}#{at}")
+            seen.add(name.lower())
+        layouts[tuple(names)].append(unquote(row.path))
+    return dict(layouts)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    met = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return bool(met)
+
+
 def _cell(raw: DataFrame, field: T.StructField) -> Column:
     if field.name not in raw.columns:
         return F.lit(None).cast(field.dataType)
