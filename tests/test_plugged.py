@@ -86,7 +86,7 @@ def test_every_request_is_answered_or_told_why_not(spark, tmp_path):
 def inputs(spark, counts):
     rng = np.random.default_rng(1)
     end = START + timedelta(hours=800)
-    water = [(s, t, float(14 + np.sin(i / 4) + rng.normal() / 9)) for s, n in counts.items() for i, t in enumerate(hours(end - timedelta(hours=n), n))]
+    water = [(s, t, float(14 + np.sin(i * np.pi / 12) + rng.normal() / 9)) for s, n in counts.items() for i, t in enumerate(hours(end - timedelta(hours=n), n))]
     weather = [(s, t, 10 + i / 100, 1000 + i / 100, 0.0) for s, n in counts.items() for i, t in enumerate(hours(end - timedelta(hours=n), n + 200))]
     return (spark.createDataFrame(water, OBSERVATION),
             spark.createDataFrame(weather, "series_id string, ts timestamp, airtemp double, pressure double, precip double"))
