@@ -36,16 +36,15 @@ def local_profile(df: DataFrame, value: str, part: str, *, zone: str = LOCAL_ZON
 
 
 def describe(df: DataFrame, value: str, *, keys: Sequence[str] = ("series_id",)) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles per key."""
+    """Count, mean, deviation, extremes and exact quartiles per key, in two passes. Rows with a null key are left out."""
     keys = list(keys)
-    basic = df.groupBy(*keys).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"), F.max(value).alias("max"),
-    )
-    quartiles = exact_quantiles(df, keys, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return basic.join(quartiles, keys, "left").select(
-        *keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    return exact_quantiles(
+        df, keys, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75},
+        also={
+            "count": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value), "min": F.min(value),
+            "max": F.max(value),
+        },
+    ).select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def span(df: DataFrame, value: str, *, keys: Sequence[str] = ("series_id",)) -> DataFrame:

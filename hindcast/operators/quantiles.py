@@ -1,77 +1,82 @@
-"""Exact quantiles of groups of any size."""
+"""Exact quantiles of groups of any size in two passes over the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-BRACKET = 2.0 / SKETCH_ACCURACY
+BRACKET = 3.0 / SKETCH_ACCURACY
+
+
+def whole_below() -> float:
+    """Groups of fewer rows are counted by value as a whole.
+
+    A cut lies within ``1 / SKETCH_ACCURACY`` of its share. What a bracket is wider than that must make up for the one
+    rank by which ``p * n`` and the rank of an interpolated quantile differ, on both sides.
+    """
+    slack = BRACKET - 1.0 / SKETCH_ACCURACY
+    return 2.0 / slack if slack > 0 else float("inf")
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, levels: dict[str, float], *, lower: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, levels: dict[str, float], *, lower: bool = False,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per key with an exact quantile column per entry of ``levels``.
 
-    Quantiles interpolate linearly between order statistics, or take the lower one with ``lower=True``.
+    Quantiles interpolate linearly between order statistics, or take the lower one with ``lower=True``. Null values do
+    not count; a key with no other ones has null quantiles. Rows with a null key are left out. ``also`` names further
+    aggregates of ``df``, which the first pass takes along.
 
-    The built-in exact percentile gathers all distinct values of a group in one task. Here a mergeable sketch first
-    brackets each wanted quantile between two values. The pieces between those values are counted exactly, and only
-    pieces that hold a wanted rank are put in order, normally a few ten-thousandths of the group. Should a sketch miss,
-    the rank lies in a larger piece: that costs time, never correctness.
+    The built-in exact percentile gathers all distinct values of a group in one task. Here the first pass is one
+    aggregate with a mergeable sketch, which brackets each wanted quantile between two values. The second pass counts
+    the rows: by value inside the brackets, normally a few ten-thousandths of the group, and as one number between
+    them. Both are combined before they are shuffled, so many copies of one value are one row. Running sums of these
+    counts place the wanted ranks. A bracket is wide enough for the sketch's error bound; should a rank lie outside
+    nevertheless, the job fails rather than report another value.
     """
-    keys = list(keys)
-    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    shares = sorted({min(max(p + side, 0.0), 1.0) for p in levels.values() for side in (-BRACKET, BRACKET)})
-    sketch = known.groupBy(*keys).agg(
-        F.percentile_approx("_v", shares, SKETCH_ACCURACY).alias("_cuts"), F.count(F.lit(1)).alias("_n")
+    keys, also = list(keys), also or {}
+    shares = [min(max(p + side, 0.0), 1.0) for p in levels.values() for side in (-BRACKET, BRACKET)]
+    sketch = df.groupBy(*keys).agg(
+        F.percentile_approx(value, shares, SKETCH_ACCURACY).alias("_cuts"), F.count(value).alias("_n"),
+        F.struct(F.lit(True).alias("_"), *[c.alias(name) for name, c in also.items()]).alias("_also"),
+    )
+    v = F.col("_v")
+    brackets = [(F.col("_cuts")[i], F.col("_cuts")[i + 1]) for i in range(0, len(shares), 2)]
+    inside = reduce(or_, [(v >= low) & (v <= high) for low, high in brackets])
+    outside = v.isNotNull() & (F.col("_n") >= whole_below()) & ~inside
+    # All rows between two brackets are one row behind the lower bracket's end.
+    ends = F.array_max(F.filter(F.array(*[high for _, high in brackets]), lambda c: c < v))
+    counts = (
+        df.select(*keys, F.col(value).alias("_v")).join(sketch, keys)
+        .select(*keys, "_n", "_also", F.when(outside, ends).otherwise(v).alias("_at"), outside.alias("_outside"), "_v")
+        .groupBy(*keys, "_at", "_outside")
+        .agg(F.count("_v").alias("_c"), F.first("_n").alias("_n"), F.first("_also").alias("_also"))
     )
-    # A value equal to a cut belongs to the piece below it, so equal values always share a piece.
-    piece = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    placed = known.join(sketch, keys).select(*keys, "_v", "_n", piece.alias("_piece"))
+    ordered = (
+        Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_at"), "_outside")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    placed = counts.withColumn("_to", F.sum("_c").over(ordered))
+    found = F.when(F.col("_outside"), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(F.col("_at"))
+    found = found.cast("double")
 
-    sizes = placed.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_size"), F.first("_n").alias("_n"))
-    # This window sees one row per piece, two or three for each level.
-    below = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_below", F.coalesce(F.sum("_size").over(below), F.lit(0)))
+    def here(rank: Column) -> Column:
+        return (rank >= F.col("_to") - F.col("_c")) & (rank < F.col("_to"))
 
-    wanted = []
-    for name, p in levels.items():
+    def quantile(p: float) -> Column:
         if lower:
-            rank = F.greatest(F.ceil(F.lit(p) * F.col("_n")) - 1, F.lit(0))
-            wanted.append(F.struct(F.lit(name).alias("name"), rank.alias("rank"), F.lit(1.0).alias("weight")))
-            continue
+            return F.sum(F.when(here(F.greatest(F.ceil(F.lit(p) * F.col("_n")) - 1, F.lit(0))), found))
         at = F.lit(p) * (F.col("_n") - 1)
         share = at - F.floor(at)
-        wanted.append(F.struct(F.lit(name).alias("name"), F.floor(at).alias("rank"), (1 - share).alias("weight")))
-        wanted.append(F.struct(F.lit(name).alias("name"), F.ceil(at).alias("rank"), share.alias("weight")))
-    asked = F.filter(
-        F.array(*wanted),
-        lambda w: (w.rank >= F.col("_below")) & (w.rank < F.col("_below") + F.col("_size")),
-    )
-    hits = sizes.withColumn("_asked", asked).where(F.size("_asked") > 0).select(*keys, "_piece", "_below", "_asked")
+        first, second = here(F.floor(at)), here(F.ceil(at))
+        return F.sum(F.when(first & second, found).when(first, found * (1 - share)).when(second, found * share))
 
-    # Equal values are merged before they are ordered, so many copies of one value are one row here.
-    counts = placed.join(hits, [*keys, "_piece"], "left_semi").groupBy(*keys, "_piece", "_v").agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    ordered = Window.partitionBy(*keys, "_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counts.withColumn("_sum", F.sum("_c").over(ordered))
-        .join(hits, [*keys, "_piece"])
-        .withColumn("_to", F.col("_below") + F.col("_sum"))
-        .withColumn(
-            "_mine", F.filter("_asked", lambda w: (w.rank >= F.col("_to") - F.col("_c")) & (w.rank < F.col("_to")))
-        )
-        .where(F.size("_mine") > 0)
-        .select(*keys, "_v", F.explode("_mine").alias("_w"))
-    )
-    return ranked.groupBy(*keys).agg(
-        *[
-            F.sum(F.when(F.col("_w.name") == name, F.col("_v") * F.col("_w.weight"))).alias(name)
-            for name in levels
-        ]
-    )
+    return placed.groupBy(*keys).agg(
+        *[quantile(p).alias(name) for name, p in levels.items()], F.first("_also").alias("_also")
+    ).select(*keys, *levels, *[F.col("_also")[name].alias(name) for name in also])

@@ -19,14 +19,6 @@ def truncate(ts: Column, step: str = "hour") -> Column:
     return F.date_trunc(step, ts)
 
 
-def regular_grid(df: DataFrame, *, keys: Sequence[str] = KEY, ts: str = "ts", step: str = "hour") -> DataFrame:
-    """Every step from a series' first to its last, without gaps."""
-    span = df.groupBy(*keys).agg(
-        F.min(truncate(F.col(ts), step)).alias("_from"), F.max(truncate(F.col(ts), step)).alias("_to")
-    )
-    return span.select(*keys, F.explode(F.sequence("_from", "_to", F.expr(f"interval 1 {step}"))).alias(ts))
-
-
 def on_grid(df: DataFrame, *, keys: Sequence[str] = KEY, ts: str = "ts", step: str = "hour") -> DataFrame:
     """Insert the missing steps of an already aggregated series as null rows."""
     df = df.where(F.col(ts).isNotNull())
@@ -66,9 +58,8 @@ def hourly_weather(df: DataFrame, *, means: Sequence[str], sums: Sequence[str],
 def hourly_median(df: DataFrame, *, value: str = "value", keys: Sequence[str] = KEY, ts: str = "ts") -> DataFrame:
     """Exact hourly median on a gap-free grid."""
     hours = df.select(*keys, truncate(F.col(ts)).alias(ts), value)
-    medians = exact_quantiles(hours, [*keys, ts], value, {value: 0.5})
     # The grid spans all readings, also hours whose readings are all null.
-    return regular_grid(df, keys=keys, ts=ts).join(medians.select(*keys, ts, value), [*keys, ts], "left")
+    return on_grid(exact_quantiles(hours, [*keys, ts], value, {value: 0.5}), keys=keys, ts=ts)
 
 
 def linear_between(ts: Column, value: Column, prev: Column, following: Column) -> Column:
@@ -167,33 +158,43 @@ def decompose(df: DataFrame, column: str, kernels: Sequence[int] = (25,), *, ind
 NORM_MODES = ("identity", "subtract_last", "subtract_median")
 
 
-def norm_statistics(df: DataFrame, column: str, mode: str, *, keys: Sequence[str] = KEY, order: str = "ts",
-                    eps: float = 1e-5) -> DataFrame:
-    """Location and scale of each series; the median is the lower one of an even count."""
-    keys = list(keys)
-    if mode not in NORM_MODES:
-        raise ValueError(f"unknown mode {mode!r}, expected one of {NORM_MODES}")
-    if mode == "identity":
-        return df.groupBy(*keys).agg(F.lit(0.0).alias("location"), F.lit(1.0).alias("scale"))
-    if mode == "subtract_last":
-        located = df.groupBy(*keys).agg(F.max_by(column, order).alias("location"))
+def norm_statistics(df: DataFrame, column: str, modes: str | Sequence[str], *, keys: Sequence[str] = KEY,
+                    order: str = "ts", eps: float = 1e-5) -> DataFrame:
+    """mode, location and scale of each series, one row per mode; the median is the lower one of an even count.
+
+    All modes share the aggregates: the mean square around any location is the variance plus the square of the mean's
+    distance from it.
+    """
+    keys, modes = list(keys), [modes] if isinstance(modes, str) else list(modes)
+    for mode in modes:
+        if mode not in NORM_MODES:
+            raise ValueError(f"unknown mode {mode!r}, expected one of {NORM_MODES}")
+    aggregates = {
+        "_mean": F.avg(column), "_spread": F.var_pop(column), "subtract_last": F.max_by(column, order),
+    }
+    if "subtract_median" in modes:
+        stats = exact_quantiles(df, keys, column, {"subtract_median": 0.5}, lower=True, also=aggregates)
     else:
-        located = exact_quantiles(df, keys, column, {"location": 0.5}, lower=True)
-    away = F.col(column) - F.col("location")
-    return (
-        df.join(located, keys)
-        .groupBy(*keys)
-        .agg(
-            F.first("location").alias("location"),
-            F.sqrt(F.avg(away * away) + F.lit(eps)).alias("scale"),
-        )
-    )
+        stats = df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()])
+
+    def of(mode: str) -> Column:
+        location = F.lit(0.0) if mode == "identity" else F.col(mode).cast("double")
+        away = F.col("_mean") - location
+        scale = F.lit(1.0) if mode == "identity" else F.sqrt(F.col("_spread") + away * away + F.lit(eps))
+        return F.struct(F.lit(mode).alias("mode"), location.alias("location"), scale.alias("scale"))
 
+    return stats.select(*keys, F.inline(F.array(*map(of, modes))))
 
-def normalise(df: DataFrame, column: str, mode: str, *, keys: Sequence[str] = KEY, order: str = "ts",
+
+def normalise(df: DataFrame, column: str, mode: str | Sequence[str], *, keys: Sequence[str] = KEY, order: str = "ts",
               eps: float = 1e-5, gamma: float = 1.0, beta: float = 0.0) -> DataFrame:
-    """Add ``location``, ``scale`` and ``normed``; ``gamma`` and ``beta`` are an optional affine step."""
+    """Add ``location``, ``scale`` and ``normed``; ``gamma`` and ``beta`` are an optional affine step.
+
+    With a list of modes each row comes once per mode, named in ``mode``.
+    """
     stats = norm_statistics(df, column, mode, keys=keys, order=order, eps=eps)
+    if isinstance(mode, str):
+        stats = stats.drop("mode")
     normed = (F.col(column) - F.col("location")) / F.col("scale") * gamma + beta
     return df.join(stats, list(keys)).withColumn("normed", normed)
 

@@ -192,13 +192,9 @@ def decompose_multi(spark, folder):
     SELECT series_id, 'subtract_last', arg_max(value, ts) FROM daily GROUP BY 1 UNION ALL
     SELECT series_id, 'subtract_median', quantile_disc(value, 0.5) FROM daily GROUP BY 1) l USING (series_id) GROUP BY l.series_id, l.mode, l.location) s USING (series_id)""")
 def instance_normalise(spark, folder):
-    frame = fx.daily(spark, folder)
-    out = None
-    for mode in timeseries.NORM_MODES:
-        normed = timeseries.denormalise(timeseries.normalise(frame, "value", mode), "normed", "restored")
-        part = normed.select("series_id", "ts", F.lit(mode).alias("mode"), "normed", "restored")
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, "normed", "restored")
+    normed = timeseries.normalise(fx.daily(spark, folder), "value", timeseries.NORM_MODES)
+    restored = timeseries.denormalise(normed, "normed", "restored")
+    return rounded(restored.select("series_id", "ts", "mode", "normed", "restored"), "normed", "restored")
 
 
 # ---- volatile windows and peaks --------------------------------------------------------------------------------

@@ -185,6 +185,41 @@ def test_quantiles_are_exact(spark, hot):
         assert disc[key] == values[(len(values) - 1) // 2]
 
 
+def test_quantiles_of_large_groups_count_only_the_brackets(spark):
+    from hindcast.operators import quantiles
+
+    rng = np.random.default_rng(5)
+    n = 12 * int(quantiles.whole_below())
+    groups = {
+        "spread": rng.normal(size=n), "sorted": np.arange(n) / 7.0, "ties": rng.integers(0, 3, size=n) * 1.5,
+        "tail": np.where(rng.random(n) < 0.7, 2.0, rng.exponential(size=n)), "small": rng.normal(size=9),
+    }
+    rows = pd.concat([pd.DataFrame({"k": k, "v": v}) for k, v in groups.items()] + [pd.DataFrame({"k": ["none"], "v": [float("nan")]})])
+    df = spark.createDataFrame(rows, "k string, v double").replace(float("nan"), None).repartition(8, "v")
+    levels = {"a": 0.0, "b": 0.0003, "c": 0.25, "d": 0.5, "e": 0.9999, "f": 1.0}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", levels, also={"n": F.count("v"), "top": F.max("v")}).collect()}
+    for key, values in groups.items():
+        assert (got[key].n, got[key].top) == (len(values), values.max())
+        for name, p in levels.items():
+            assert got[key][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+    assert got["none"].n == 0 and got["none"].d is None
+
+
+def test_quantile_statistics_take_two_passes(spark, tmp_path):
+    from hindcast.operators import metrics
+
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id % 3 series_id", "timestamp_seconds(id * 600) ts", "id * 1.0D value").write.parquet(path)
+    df = spark.read.parquet(path)
+    for out in (
+        metrics.describe(df, "value"), ts.hourly_median(df),
+        ts.norm_statistics(df, "value", ["identity", "subtract_last", "subtract_median"]),
+    ):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") <= 2 and plan.count("Exchange hash") < 8
+
+
 def test_quantiles_survive_a_bad_sketch(spark, monkeypatch):
     from hindcast.operators import quantiles
 
