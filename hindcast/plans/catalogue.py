@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from hindcast.functions import scalars, zones
 from hindcast.functions.student_t import expand_quantiles
-from hindcast.operators import asof, backtests, forecasting, metrics, quality, reshape, selection, timeseries, upserts, views
+from hindcast.operators import (
+    asof, backtests, forecasting, metrics, quality, reshape, rolling, selection, timeseries, upserts, views,
+)
 from hindcast.operators.blocks import framed, hour_number, number_rows
 from hindcast.plans import fixtures as fx
 from hindcast.plans import oracle as sq
@@ -884,13 +886,27 @@ def t_quantiles(spark, folder):
     return rounded(out.select("series_id", "hour", "q", "value"), "value", digits=3)
 
 
+# The model frame: target, air and other at every hour of a series.
+FRAME = {
+    "frame": """SELECT h.series_id, h.ts, h.value AS target, coalesce(w.airtemp_pv, w.airtemp_nv) AS air, coalesce(w.pressure_pv, w.pressure_nv) AS other FROM hourly h
+        JOIN weather_filled w USING (series_id, ts)""",
+    "weather_filled": sq.neighbours("clean_weather", ["airtemp", "pressure"]),
+}
+
+
+def _model_frame(spark, folder):
+    weather = timeseries.fill_both_ways(
+        fx.clean_weather(spark, folder).select("series_id", "ts", F.col("airtemp").alias("air"), F.col("pressure").alias("other")), ["air", "other"]
+    )
+    frame = fx.hourly(spark, folder).withColumnRenamed("value", "target").join(weather, ["series_id", "ts"])
+    return fx.settled(frame, "frame")
+
+
 @query(
     f"""SELECT series_id, horizon, configuration, round(avg(mae), 6) AS mae, round(avg(crps), 6) AS crps FROM (
     SELECT origin_id, series_id, h AS horizon, configuration, avg(error) AS mae, avg(crps) AS crps FROM step_scores,
     (SELECT unnest([24::INTEGER, 96::INTEGER]) AS h) WHERE step <= h GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3""",
-    frame="""SELECT h.series_id, h.ts, h.value AS target, coalesce(w.airtemp_pv, w.airtemp_nv) AS air, coalesce(w.pressure_pv, w.pressure_nv) AS other FROM hourly h
-        JOIN weather_filled w USING (series_id, ts)""",
-    weather_filled=sq.neighbours("clean_weather", ["airtemp", "pressure"]),
+    **FRAME,
     origins="""SELECT series_id, b.b AS back, series_id || '|' || b.b AS origin_id, hi - INTERVAL 1 HOUR * (b.b + 96) AS ref FROM (
         SELECT series_id, max(ts) AS hi, min(ts) AS lo FROM frame GROUP BY 1), (SELECT unnest([0, 240, 480]) AS b) b
         WHERE hi - INTERVAL 1 HOUR * (b.b + 96) >= lo""",
@@ -917,12 +933,36 @@ def t_quantiles(spark, folder):
 )
 def experiment_grid(spark, folder):
     """Covariate configurations compared over horizons and rolling windows."""
-    weather = timeseries.fill_both_ways(
-        fx.clean_weather(spark, folder).select("series_id", "ts", F.col("airtemp").alias("air"), F.col("pressure").alias("other")), ["air", "other"]
-    )
-    frame = fx.hourly(spark, folder).withColumnRenamed("value", "target").join(weather, ["series_id", "ts"])
-    frame = fx.settled(frame, "frame")
-    return rounded(backtests.experiment_grid(frame), "mae", "crps")
+    return rounded(backtests.experiment_grid(_model_frame(spark, folder)), "mae", "crps")
+
+
+@query(
+    """SELECT series_id, configuration, step, count(*) AS origins, round(avg(abs(miss)), 6) AS mae, round(sqrt(avg(miss * miss)), 6) AS rmse FROM misses
+    WHERE miss IS NOT NULL GROUP BY 1, 2, 3""",
+    **FRAME,
+    phased="SELECT *, hour(ts) AS phase FROM frame",
+    past="""SELECT o.series_id, o.ts AS ref, f.ts, f.phase, f.target, f.air, f.other FROM phased o JOIN phased f ON f.series_id = o.series_id AND f.ts <= o.ts
+        AND f.ts > o.ts - INTERVAL 336 HOUR""",
+    complete="""SELECT *, avg(target) OVER w AS ym, avg(air) OVER w AS am, avg(other) OVER w AS bm FROM past
+        WHERE target IS NOT NULL AND air IS NOT NULL AND other IS NOT NULL WINDOW w AS (PARTITION BY series_id, ref, phase)""",
+    sums="""SELECT series_id, ref, sum((air - am) * (air - am)) AS aa, sum((other - bm) * (other - bm)) AS bb, sum((air - am) * (other - bm)) AS ab,
+        sum((air - am) * (target - ym)) AS ya, sum((other - bm) * (target - ym)) AS yb FROM complete GROUP BY 1, 2""",
+    whole="SELECT series_id, ref FROM past GROUP BY 1, 2 HAVING count(*) = 336",
+    slopes="""SELECT s.*, ya / aa AS air_alone, yb / bb AS other_alone, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS air_both,
+        (yb * aa - ya * ab) / (aa * bb - ab * ab) AS other_both FROM sums s JOIN whole USING (series_id, ref)""",
+    seasons="SELECT DISTINCT series_id, ref, phase, ym, am, bm FROM complete",
+    setups="""SELECT unnest([{'n': 'Univariate', 'a': 0, 'o': 0, 'f': false}, {'n': '+ Luft (Past)', 'a': 1, 'o': 0, 'f': false},
+        {'n': '+ Luft (Past+Future)', 'a': 1, 'o': 0, 'f': true}, {'n': '+ Fluss (Past)', 'a': 0, 'o': 1, 'f': false},
+        {'n': '+ Fluss+Luft (Past)', 'a': 1, 'o': 1, 'f': false}, {'n': '+ Fluss+Luft (Past+Future)', 'a': 1, 'o': 1, 'f': true}]) AS c""",
+    misses="""SELECT b.series_id, c.c.n AS configuration, k.step, t.target - (m.ym + c.c.a * CASE WHEN c.c.o = 1 THEN b.air_both ELSE b.air_alone END
+        * (CASE WHEN c.c.f THEN t.air ELSE l.air END - m.am) + c.c.o * CASE WHEN c.c.a = 1 THEN b.other_both ELSE b.other_alone END * (l.other - m.bm)) AS miss
+        FROM slopes b JOIN phased l ON l.series_id = b.series_id AND l.ts = b.ref, (SELECT unnest([1::INTEGER, 24::INTEGER, 96::INTEGER]) AS step) k, setups c,
+        phased t, seasons m WHERE t.series_id = b.series_id AND t.ts = b.ref + INTERVAL 1 HOUR * k.step AND m.series_id = b.series_id AND m.ref = b.ref
+        AND m.phase = t.phase""",
+)
+def rolling_origins(spark, folder):
+    """Covariate configurations fitted jointly at every hour of every series, two weeks back."""
+    return rounded(rolling.rolling_origin_scores(_model_frame(spark, folder), days=14), "mae", "rmse")
 
 
 def _comparison_sql() -> str:
