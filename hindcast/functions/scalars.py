@@ -67,11 +67,27 @@ def backtest_label(offset_hours: Column, kind: Column) -> Column:
     return F.concat(F.lit("Backtest -"), offset_hours.cast("string"), F.lit("h ("), kind, note, F.lit(")"))
 
 
+def one_decimal(value: Column) -> Column:
+    """Text of a double rounded to one decimal by its exact binary value, an exact half to the even digit.
+
+    The built-in format rounds the shortest decimal form half up, so that 88.25 becomes 88.3 and 0.15, which is a little
+    less than that, becomes 0.2. Here the fraction is counted in steps of ``2 ** -59``, and tenths of it are integers.
+    """
+    size = F.abs(value.cast("double"))
+    whole = F.floor(size)
+    tenths = ((size - whole) * F.lit(2.0 ** 59)).cast("long") * 10
+    rest = tenths.bitwiseAND(F.lit(2 ** 59 - 1))
+    digit = F.shiftright(tenths, 59)
+    up = (rest > 2 ** 58) | ((rest == 2 ** 58) & (digit % 2 == 1))
+    digit = digit + up.cast("int")
+    text = F.concat((whole + F.floor(digit / 10)).cast("string"), F.lit("."), (digit % 10).cast("string"))
+    return F.when(size < 2 ** 62, F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)).otherwise(
+        F.format_string("%.1f", value.cast("double")))
+
+
 def peak_label(value: Column, local_time: Column) -> Column:
     """Value to one decimal and local clock time, on two lines."""
-    return F.concat(
-        F.lit("Max: "), F.format_string("%.1f", value), F.lit("°C\n"), F.date_format(local_time, "HH:mm")
-    )
+    return F.concat(F.lit("Max: "), one_decimal(value), F.lit("°C\n"), F.date_format(local_time, "HH:mm"))
 
 
 # Fixed value: how a quantile column spells its channel and level.

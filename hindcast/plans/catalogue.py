@@ -256,8 +256,7 @@ CURVES = """SELECT series_id, date_trunc('month', ts)::TIMESTAMP AS reference_ti
     SELECT series_id, ts, avg(value) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS trend FROM daily)"""
 
 
-@query(
-    """SELECT k.series_id, k.reference_time, k.target_time, k.value, k.pos::INTEGER AS position, round(k.value - greatest(l.low, h.low), 6) AS prominence
+PEAKS = """SELECT k.series_id, k.reference_time, k.target_time, k.value, k.pos::INTEGER AS position, round(k.value - greatest(l.low, h.low), 6) AS prominence
     FROM (SELECT c.* FROM curve_rows c JOIN kept ON kept.series_id = c.series_id AND kept.reference_time = c.reference_time
         AND list_contains(kept.chosen, c.pos)) k,
     LATERAL (SELECT min(b.value) AS low FROM curve_rows b WHERE b.series_id = k.series_id AND b.reference_time = k.reference_time AND b.pos <= k.pos
@@ -266,21 +265,29 @@ CURVES = """SELECT series_id, date_trunc('month', ts)::TIMESTAMP AS reference_ti
     LATERAL (SELECT min(b.value) AS low FROM curve_rows b WHERE b.series_id = k.series_id AND b.reference_time = k.reference_time AND b.pos >= k.pos
         AND b.pos < coalesce((SELECT min(a.pos) FROM curve_rows a WHERE a.series_id = k.series_id AND a.reference_time = k.reference_time
         AND a.pos > k.pos AND a.value > k.value), 1000000)) h
-    WHERE k.value - greatest(l.low, h.low) >= 0.2""",
-    curves=CURVES,
-    curve_rows="SELECT *, row_number() OVER (PARTITION BY series_id, reference_time ORDER BY target_time) - 1 AS pos FROM curves",
-    runs="""SELECT series_id, reference_time, value, min(pos) AS lo, max(pos) AS hi FROM (SELECT *, sum(fresh) OVER (PARTITION BY series_id,
+    WHERE k.value - greatest(l.low, h.low) >= 0.2"""
+
+
+def _peak_steps(curves: str, distance: int) -> dict[str, str]:
+    """Tops of each curve, chosen from the highest down; ``curves`` has series_id, reference_time, target_time, value."""
+    return {
+        "curves": curves,
+        "curve_rows": "SELECT *, row_number() OVER (PARTITION BY series_id, reference_time ORDER BY target_time) - 1 AS pos FROM curves",
+        "runs": """SELECT series_id, reference_time, value, min(pos) AS lo, max(pos) AS hi FROM (SELECT *, sum(fresh) OVER (PARTITION BY series_id,
         reference_time ORDER BY pos) AS run FROM (SELECT *, CASE WHEN value IS NOT DISTINCT FROM lag(value) OVER (PARTITION BY series_id, reference_time
         ORDER BY pos) THEN 0 ELSE 1 END AS fresh FROM curve_rows)) GROUP BY series_id, reference_time, value, run""",
-    tops="""SELECT *, row_number() OVER (PARTITION BY series_id, reference_time ORDER BY value DESC, pos DESC) AS turn FROM (
+        "tops": """SELECT *, row_number() OVER (PARTITION BY series_id, reference_time ORDER BY value DESC, pos DESC) AS turn FROM (
         SELECT series_id, reference_time, value, (lo + hi) // 2 AS pos, lag(value) OVER w AS before, lead(value) OVER w AS after FROM runs
         WINDOW w AS (PARTITION BY series_id, reference_time ORDER BY lo)) WHERE value > before AND value > after""",
-    walk="""SELECT series_id, reference_time, 0::BIGINT AS turn, []::BIGINT[] AS chosen FROM (SELECT DISTINCT series_id, reference_time FROM tops)
-        UNION ALL SELECT w.series_id, w.reference_time, t.turn, CASE WHEN len(list_filter(w.chosen, lambda x: abs(x - t.pos) < 6)) = 0
+        "walk": f"""SELECT series_id, reference_time, 0::BIGINT AS turn, []::BIGINT[] AS chosen FROM (SELECT DISTINCT series_id, reference_time FROM tops)
+        UNION ALL SELECT w.series_id, w.reference_time, t.turn, CASE WHEN len(list_filter(w.chosen, lambda x: abs(x - t.pos) < {distance})) = 0
         THEN list_append(w.chosen, t.pos) ELSE w.chosen END FROM walk w JOIN tops t ON t.series_id = w.series_id
         AND t.reference_time = w.reference_time AND t.turn = w.turn + 1""",
-    kept="SELECT series_id, reference_time, arg_max(chosen, turn) AS chosen FROM walk GROUP BY 1, 2",
-)
+        "kept": "SELECT series_id, reference_time, arg_max(chosen, turn) AS chosen FROM walk GROUP BY 1, 2",
+    }
+
+
+@query(PEAKS, **_peak_steps(CURVES, 6))
 def peaks(spark, folder):
     """Significant maxima of monthly curves of the five-day mean."""
     rows = fx.daily(spark, folder).withColumn("day", fx.day_number())
@@ -1027,6 +1034,18 @@ def chart_bands(spark, folder):
     return rounded(views.fan_bands(_backtests(spark, folder)), "low", "high", digits=5)
 
 
+@query(
+    f"""SELECT series_id, reference_time AS label, {sq.local('target_time')} AS local_time, value, 'Max: ' || printf('%.1f', value) || '°C' || chr(10) ||
+    strftime({sq.local('target_time')}, '%H:%M') AS note FROM found""",
+    found=PEAKS,
+    **_peak_steps("""SELECT series_id, label AS reference_time, target_time, round(value, 4) AS value FROM labelled
+        WHERE channel = 'wassertemp' AND q = 0.5 AND value IS NOT NULL""", 18),
+)
+def chart_peaks(spark, folder):
+    """Texts at the significant maxima of every median line."""
+    return views.peak_notes(rounded(_backtests(spark, folder), "value", digits=4))
+
+
 MAIN = """SELECT r.series_id, c.target_time, c.channel, c.q, c.value FROM computed c JOIN requests r USING (request_id) WHERE r.offset_hours = 96"""
 NO_TIERS = {
     "tier1": "SELECT * FROM requests WHERE false", "tier2": "SELECT *, ref AS anchor, ref AS fetched_at FROM requests WHERE false",

@@ -229,3 +229,12 @@ def test_text_and_names(spark):
 ])
 def test_t_quantile_over_all_freedoms(freedom, expected):
     assert float(t_quantile(0.01, freedom, 0.0)) == pytest.approx(expected, abs=2e-4)
+
+
+def test_one_decimal_rounds_the_exact_value(spark):
+    rng = random.Random(4)
+    values = [88.25, 88.75, 0.15, 0.25, 15.15, 0.05, 9.95, 9.96, -0.04, -2.25, 0.0, 1e12 + 0.25, 2.0 ** 60, -15.26]
+    values += [round(rng.uniform(-40, 40), rng.choice([2, 3, 5, 17])) for _ in range(2000)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", scalars.one_decimal(F.col("v")).alias("t")).collect()
+    assert [r.t for r in got] == [f"{r.v:.1f}" for r in got]
+    assert spark.range(1).select(scalars.one_decimal(F.lit(None).cast("double")).alias("t")).first().t is None
