@@ -81,8 +81,8 @@ def one_decimal(value: Column) -> Column:
     up = (rest > 2 ** 58) | ((rest == 2 ** 58) & (digit % 2 == 1))
     digit = digit + up.cast("int")
     text = F.concat((whole + F.floor(digit / 10)).cast("string"), F.lit("."), (digit % 10).cast("string"))
-    return F.when(size < 2 ** 62, F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)).otherwise(
-        F.format_string("%.1f", value.cast("double")))
+    return F.when(size < 2 ** 62, F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)).when(
+        size.isNotNull(), F.format_string("%.1f", value.cast("double")))
 
 
 def peak_label(value: Column, local_time: Column) -> Column:
